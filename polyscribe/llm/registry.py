@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from polyscribe.llm import op5_mixing, op7_warc
+from polyscribe.llm import op5_mixing, op7_warc, op10_quality
 
 QUERIES = {
     "op5_mixing": op5_mixing.op5_mixing,
     "op7_warc": op7_warc.op7_warc,
+    "op10_quality": op10_quality.op10_quality,
 }
 SQL = {
     "op5_mixing": op5_mixing.SQL,
