@@ -131,3 +131,15 @@ def shingle_hashes(h: np.ndarray, n: int, seed: int = 1) -> np.ndarray:
 def row_of(starts: np.ndarray, n: int) -> np.ndarray:
     """For item offsets ``starts`` (rows + 1), the row of each of the n items."""
     return np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray, most: int = 1_000_000) -> np.ndarray:
+    """span_hashes in runs of about ``most`` bytes, so that temporary arrays stay small."""
+    out = np.empty(len(starts), np.uint64)
+    i, n = 0, len(starts)
+    while i < n:
+        a = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(stops, a + most, "right")))
+        out[i:j] = span_hashes(raw[a : stops[j - 1]], starts[i:j] - a, stops[i:j] - a)
+        i = j
+    return out
