@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from polyscribe.llm import op5_mixing, op6_substring, op7_warc, op10_quality
+from polyscribe.llm import op5_mixing, op6_substring, op7_warc, op8_neardup, op10_quality
 
 QUERIES = {
     "op5_mixing": op5_mixing.op5_mixing,
     "op6_substring": op6_substring.op6_substring,
     "op7_warc": op7_warc.op7_warc,
+    "op8_neardup": op8_neardup.op8_neardup,
     "op10_quality": op10_quality.op10_quality,
 }
 SQL = {
     "op5_mixing": op5_mixing.SQL,
     "op6_substring": op6_substring.SQL,
     "op7_warc": op7_warc.SQL,
+    "op8_neardup": op8_neardup.SQL,
 }
