@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from polyscribe.llm import op5_mixing, op6_substring, op7_warc, op8_neardup, op10_quality
+from polyscribe.llm import op1_lines, op5_mixing, op6_substring, op7_warc, op8_neardup, op10_quality
 
 QUERIES = {
+    "op1_lines": op1_lines.op1_lines,
     "op5_mixing": op5_mixing.op5_mixing,
     "op6_substring": op6_substring.op6_substring,
     "op7_warc": op7_warc.op7_warc,
