@@ -299,8 +299,11 @@ def line_links(lists: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return rows.mapInArrow(check, "a long, b long")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The rows of docs with their columns, and n_lines, removed (line numbers), first_docs (who keeps each removed line's class), kept."""
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, result_prefix: str = "") -> DataFrame:
+    """The rows of docs with their columns, and n_lines, removed (line numbers), first_docs (who keeps each removed line's class), kept.
+
+    ``result_prefix`` goes before the names of the added columns, for tables that have columns of these names.
+    """
     if min_chars <= edits + 1:
         raise ValueError("min_chars must exceed edits + 1, so that every segment has text")
     every = materialise(line_table(docs, id_col, text_col, min_chars), "line-table")
@@ -327,9 +330,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.array_join(F.transform(staying, lambda i: F.get(pieces_, i)), "\n")
     return joined.select(
         *[c for c in docs.columns],
-        F.when(F.coalesce(text, F.lit("")) == "", 0).otherwise(F.size(pieces_)).cast("long").alias("n_lines"),
-        gone_lines.alias("removed"), F.coalesce(F.transform("_gone.first_doc", lambda x: F.when(x != NULL_ID, x)), F.array().cast("array<long>")).alias("first_docs"),
-        F.when(F.size(gone_lines) > 0, kept).otherwise(text).alias("kept"),
+        F.when(F.coalesce(text, F.lit("")) == "", 0).otherwise(F.size(pieces_)).cast("long").alias(f"{result_prefix}n_lines"),
+        gone_lines.alias(f"{result_prefix}removed"), F.coalesce(F.transform("_gone.first_doc", lambda x: F.when(x != NULL_ID, x)), F.array().cast("array<long>")).alias(f"{result_prefix}first_docs"),
+        F.when(F.size(gone_lines) > 0, kept).otherwise(text).alias(f"{result_prefix}kept"),
     )
 
 
