@@ -19,11 +19,14 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from polyscribe.runtime import ship
+
 WORD = r"[^\x20\x09-\x0D]+"
 NULL_ID = -(2**63)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -328,7 +328,7 @@ part AS (
 ), p AS (
   SELECT doc_id, unnest(words) AS term, unnest(range(0, len(words))) AS at FROM d
 ), step AS (
-  SELECT doc_id, term, at // half AS s FROM p, half WHERE term IN (SELECT term FROM df)
+  SELECT doc_id, term, CAST(floor(at / half) AS BIGINT) AS s FROM p, half WHERE term IN (SELECT term FROM df)
 ), pas AS (
   SELECT DISTINCT doc_id, s, term FROM (SELECT * FROM step UNION ALL SELECT doc_id, term, s - 1 FROM step WHERE s > 0)
 ), hit AS (
