@@ -7,7 +7,7 @@ has already found near.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from polyscribe.functions.unicode import ARROWS, DIAERESIS, marked
@@ -143,20 +143,19 @@ def shingles(x: Column, n: int = 3, pad: str = "$") -> Column:
     return F.transform(F.sequence(F.lit(1), F.char_length(padded) - n + 1), lambda i: padded.substr(i, F.lit(n)))
 
 
-def trigram_similarity(a: Column, b: Column, n: int = 3) -> Column:
-    """Multiset intersection over multiset union of the padded n-grams.
+def trigram_similarities(pairs: DataFrame, id_col: str, a: str, b: str, n: int = 3) -> DataFrame:
+    """(id, similarity): multiset intersection over multiset union of the padded n-grams of two text columns.
 
-    Equal grams are numbered, so multisets meet as sets, by sorting and comparing neighbours.
+    Grams are rows and their counts meet in one aggregation a pair. Pairs with a null text are left out; two empty texts are alike.
     """
+    both = pairs.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
 
-    def numbered(x):
-        grams = F.array_sort(shingles(x, n))
-        at = F.transform(grams, lambda g, i: F.struct(g.alias("g"), (i - F.array_position(grams, g)).cast("int").alias("k")))
-        return at
+    def grams(column, side):
+        return F.transform(shingles(F.col(column), n), lambda g: F.struct(g.alias("g"), F.lit(side).alias("side")))
 
-    x, y = numbered(a), numbered(b)
-    shared = F.size(F.array_intersect(x, y))
-    return shared / (F.size(x) + F.size(y) - shared)
+    sides = F.explode(F.concat(grams(a, 0), grams(b, 1)))
+    counts = both.select(F.col(id_col).alias("id"), sides.alias("_s")).groupBy("id", "_s.g").agg(F.count_if(F.col("_s.side") == 0).alias("x"), F.count_if(F.col("_s.side") == 1).alias("y"))
+    return counts.groupBy("id").agg((F.sum(F.least("x", "y")) / F.sum(F.greatest("x", "y"))).alias("similarity")).withColumnRenamed("id", id_col)
 
 
 def average_hash(values: Column) -> Column:

@@ -9,13 +9,13 @@ from polyscribe.functions import unicode as U
 
 # The patterns and characters that define tokens and repairs.
 SUPERSCRIPTS = r"²³¹⁰⁴-⁹"
-TOKEN = r"^(?s)((?U)[\d" + SUPERSCRIPTS + r"·»«„*\[(\"〈,\-.?’|‖“⟨]*)(.*?)([⟩”«»„.,!?;†·:〉'()\d\]\[|" + SUPERSCRIPTS + r"]*)$"
+TOKEN = r"(?s)^([\p{Nd}" + SUPERSCRIPTS + r"·»«„*\[(\"〈,\-.?’|‖“⟨]*)(.*?)([⟩”«»„.,!?;†·:〉'()\p{Nd}\]\[|" + SUPERSCRIPTS + r"]*)$"
 ELIDED = r"^’([I1ΙιΕEAP])(.*)$"
 APOSTROPHE, TYPEWRITER = "’", "'"
 PSILI, PERISPOMENI, CIRCUMFLEX, KORONIS, MODIFIER = "̓", "͂", "̂", "᾽", "ʼ"
 LIGATURES = [("ae", "æ"), ("ff", "ﬀ"), ("oe", "œ"), ("fl", "ﬂ"), ("fi", "ﬁ")]
 SPLIT_MARKS = r".,·;’〉〈\[\])("
-NUMERAL = r"^((?U)[·«„\[(\"〈]*)([I\d" + SUPERSCRIPTS + r"]*?)([«»„.,!?;†·:〉)\]]*)$"
+NUMERAL = r"^([·«„\[(\"〈]*)([I\p{Nd}" + SUPERSCRIPTS + r"]*?)([«»„.,!?;†·:〉)\]]*)$"
 GREEK_NUMERAL = "^[αβγδεϚϜξιηθικλμνοπϞϘρστυφχψωϠΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ]{1,2}′$"
 LATIN_SUFFIXES = ["que", "ne", "ve"]
 LINE_GAP = r"[)(;><.\s]+"

@@ -1,12 +1,14 @@
-"""What a session needs before it runs this package's Python functions on executors."""
+"""What a session needs: the package on its executors, and tables in the folder that driver and executors share."""
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -23,3 +25,41 @@ def ship(spark: SparkSession) -> None:
             out.write(path, Path(here.name) / path.relative_to(here))
     context.addPyFile(str(target))
     _shipped.add(context.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        path = f"file://{tempfile.mkdtemp(prefix='polyscribe-shared-')}"
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write df as Parquet in the shared folder and read it back: lineage ends in files that outlive executors."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/polyscribe/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._polyscribe_path = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete materialised tables that nothing lazily read any more depends on."""
+    for df in frames:
+        path = getattr(df, "_polyscribe_path", None)
+        if path:
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let the context's cleaner delete the shuffle files of queries that nothing refers to any more.
+
+    They would stay on the executors' disks until the driver's heap happens to be collected.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
