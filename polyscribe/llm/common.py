@@ -9,8 +9,6 @@ than the number of blocks.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 import zlib
 
 import numpy as np
@@ -19,7 +17,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyscribe.runtime import ship
+from polyscribe.runtime import discard, forget_shuffles, materialise, shared_dir, ship
+
+__all__ = ["discard", "forget_shuffles", "materialise", "shared_dir", "ship"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 NULL_ID = -(2**63)
@@ -30,35 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = f"file://{tempfile.mkdtemp(prefix='polyscribe-shared-')}"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends in files that outlive executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/polyscribe/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._polyscribe_path = path
-    return out
-
-
-def discard(*frames: DataFrame) -> None:
-    """Delete materialised tables that nothing lazily read any more depends on."""
-    for df in frames:
-        path = getattr(df, "_polyscribe_path", None)
-        if path:
-            spark = df.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
-
-
 def shards_for(total: float, each: float) -> int:
     """How many shards keep about ``each`` items in one (8 at least, so that small inputs use the cores too)."""
     return int(max(8, min(1_000_000, -(-total // each))))
