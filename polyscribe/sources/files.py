@@ -24,7 +24,7 @@ SEPARATOR = "€"
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """(path, ord, line) of text files, in file order."""
-    whole = spark.read.option("wholetext", "true").text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
+    whole = spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     lined = whole.select("path", F.posexplode(F.split("value", "\n", -1)).alias("ord", "line"), F.size(F.split("value", "\n", -1)).alias("_n"))
     return lined.filter(~((F.col("ord") == F.col("_n") - 1) & (F.col("line") == ""))).select("path", "ord", F.regexp_replace("line", "\r$", "").alias("line"))
 
@@ -96,7 +96,7 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 
 def read_json_responses(spark: SparkSession, *paths: str) -> DataFrame:
     """(json): one document a file."""
-    return spark.read.option("wholetext", "true").text(list(paths)).select(F.col("value").alias("json"))
+    return spark.read.text(list(paths), wholetext=True).select(F.col("value").alias("json"))
 
 
 def list_archive(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:

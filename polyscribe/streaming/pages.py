@@ -15,7 +15,7 @@ def stream_words(spark: SparkSession, path: str, pattern: str = "*.html", files_
     """Word rows of page files, each file once."""
     files = spark.readStream.format("binaryFile").schema(BINARY).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_a_trigger).load(path)
     page = F.regexp_replace(F.regexp_replace(F.regexp_extract("path", r"([^/]+)$", 1), "^output-", ""), r"\.[^.]*$", "")
-    return parse_words(files.select(page.alias("page_id"), F.decode("content", F.lit("UTF-8")).alias("markup")), strict)
+    return parse_words(files.select(page.alias("page_id"), F.decode("content", "UTF-8").alias("markup")), strict)
 
 
 def ingest(words: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
