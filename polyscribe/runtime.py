@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 import zipfile
 from pathlib import Path
@@ -59,7 +60,10 @@ def discard(*frames: DataFrame) -> None:
 def forget_shuffles(spark: SparkSession) -> None:
     """Let the context's cleaner delete the shuffle files of queries that nothing refers to any more.
 
-    They would stay on the executors' disks until the driver's heap happens to be collected.
+    They would stay on the executors' disks until the driver's heap happens to be collected. The first collection
+    finds what Python has let go of since, the second what that held.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
