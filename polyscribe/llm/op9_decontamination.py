@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from polyscribe.llm.common import NULL_ID, discard, id_array, materialise, table
 
 K1, B = 1.2, 0.75
-THRESHOLD, OVERLAP, NGRAM, HALF = 0.5, 0.5, 3, 64
+THRESHOLD, OVERLAP, HALF = 0.5, 0.5, 64
+#: Parts of at least LONG words are compared by n-grams, shorter ones by single words, so that one edit cannot undo them.
+NGRAM, LONG = 3, 9
 #: Postings of a block in a list, and items of a block in the grid of bounds.
 BLOCK = 64
 SHARD_WORDS = 1_000_000
@@ -67,12 +69,18 @@ def split_item(text: str) -> tuple[str, str]:
     return " ".join(words[:cut]), " ".join(words[cut:] if cut < len(words) else words)
 
 
-def ngrams(h: np.ndarray, n: int = NGRAM) -> np.ndarray:
-    """Distinct hashes of n consecutive words, or of all if there are fewer."""
+def ngrams(h: np.ndarray, n: int) -> np.ndarray:
+    """Distinct hashes of n consecutive words."""
     from polyscribe.llm.kernels import shingle_hashes
 
-    k = min(n, len(h))
-    return np.unique(shingle_hashes(h, k, seed=50 + k)) if k else h
+    return np.unique(shingle_hashes(h, n, seed=50 + n))
+
+
+def part_ngrams(text: str) -> tuple[int, np.ndarray]:
+    """(n, the distinct n-grams) of a question or answer."""
+    h = _hashes(text)
+    n = NGRAM if len(h) >= LONG else 1
+    return n, ngrams(h, n)
 
 
 class Index:
@@ -83,8 +91,7 @@ class Index:
         items = sorted(items, key=lambda x: x[0])
         number = {uid: k for k, (uid, _, _) in enumerate(items)}
         self.ids = [i for _, i, _ in items]
-        self.parts = [tuple(ngrams(_hashes(p)) for p in split_item(t)) for _, _, t in items]
-        self.sizes = [tuple(min(NGRAM, max(1, len(_hashes(p)))) for p in split_item(t)) for _, _, t in items]
+        self.parts = [tuple(part_ngrams(p) for p in split_item(t)) for _, _, t in items]
         self.half = half
         term = np.array([t for _, t, _ in postings], np.int64).view(np.uint64)
         item = np.array([number[u] for u, _, _ in postings], np.int64)
@@ -209,8 +216,8 @@ class Index:
             for item, score in self.search(term[edge[p] : edge[p + 1]].tolist(), threshold):
                 if here is None:
                     words = h[at[text] + first : min(at[text] + first + 2 * self.half, at[text + 1])]
-                    here = {k: ngrams(words, k) for k in range(1, NGRAM + 1)}
-                shares = [float(np.isin(part, here[k]).mean()) if len(part) and len(words) >= k else 0.0 for part, k in zip(self.parts[item], self.sizes[item], strict=True)]
+                    here = {n: ngrams(words, n) for n in (1, NGRAM)}
+                shares = [float(np.isin(part, here[n]).mean()) if len(part) else 0.0 for n, part in self.parts[item]]
                 if min(shares) >= overlap - 1e-9:
                     row = (score, *shares, first)
                     old = best.get((text, item))
@@ -253,45 +260,65 @@ FIELDS = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64(
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """A row for each document and item that it contains: scores of the best passage and the word at which that begins."""
-    from polyscribe.llm.kernels import column_bytes, pieces
-
-    spark = docs.sparkSession
+def item_indexes(items: DataFrame, shard_words: int = SHARD_WORDS) -> list:
+    """Broadcast indexes of the items, one for each shard; a shard's size is bounded by its number of words."""
+    spark = items.sparkSession
     listed = items.select(F.coalesce(F.col("item_id").cast("long"), F.lit(NULL_ID)).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
     listed = materialise(listed.withColumn("uid", F.xxhash64("item_id", "text")).withColumn("words", F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"))), "bm25-items")
     words, longest = listed.agg(F.sum("words"), F.max("words")).first()
     weights = weighted_postings(listed)
     shards = max(1, -(-(words or 0) // shard_words))
-    half = max(HALF, longest or 0)
-    shard = F.pmod(F.xxhash64(F.col("uid")), F.lit(shards))
+    shard, half = F.pmod(F.xxhash64(F.col("uid")), F.lit(shards)), max(HALF, longest or 0)
+    part = lambda df, k, *columns: [tuple(r) for r in df.filter(shard == k).select(*columns).collect()]
+    made = [spark.sparkContext.broadcast(Index(part(listed, k, "uid", "item_id", "text"), part(weights, k, "uid", "term", "weight"), half)) for k in range(shards)]
+    discard(listed, weights)
+    return made
+
+
+def _matches(column: pa.Array, index: Index, threshold: float, overlap: float):
+    """The index's matches in a column of texts, as (row, ...)."""
+    from polyscribe.llm.kernels import column_bytes, pieces
+
+    raw, offsets = column_bytes(column)
+    for i, j in pieces(offsets, 1_000_000):
+        h, at = folded_words(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        yield [(i + text, *rest) for text, *rest in index.matches(h, at, threshold, overlap)]
+
+
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """A row for each document and item that it contains: scores of the best passage and the word at which that begins."""
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     found = None
-    for k in range(shards):
-        # one shard of the items, of bounded size by its number of words
-        index = Index([tuple(r) for r in listed.filter(shard == k).select("uid", "item_id", "text").collect()], [tuple(r) for r in weights.filter(shard == k).select("uid", "term", "weight").collect()], half)
-        sent = spark.sparkContext.broadcast(index)
+    for sent in item_indexes(items, shard_words):
 
         def search(batches, sent=sent):
             for batch in batches:
-                raw, offsets = column_bytes(batch.column(1))
                 ids = batch.column(0).fill_null(NULL_ID).to_numpy()
-                for i, j in pieces(offsets, 1_000_000):
-                    h, at = folded_words(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                    rows = sent.value.matches(h, at, threshold, overlap)
+                for rows in _matches(batch.column(1), sent.value, threshold, overlap):
                     if rows:
                         text, item, *rest = zip(*rows, strict=True)
-                        yield pa.RecordBatch.from_arrays([id_array(ids[i + np.array(text)]), id_array([sent.value.ids[x] for x in item]), *(pa.array(c, t) for c, (_, t) in zip(rest, FIELDS[2:], strict=True))], schema=pa.schema(FIELDS))
+                        yield pa.RecordBatch.from_arrays([id_array(ids[np.array(text)]), id_array([sent.value.ids[x] for x in item]), *(pa.array(c, t) for c, (_, t) in zip(rest, FIELDS[2:], strict=True))], schema=pa.schema(FIELDS))
 
         part = texts.mapInArrow(search, SCHEMA)
         found = part if found is None else found.unionAll(part)
     return found
 
 
-def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that contain no item; rows that share an id go or stay together."""
-    hit = materialise(contaminated(docs, items, id_col, text_col).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_hit")).distinct(), "contaminated")
-    return docs.join(hit, F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)) == F.col("_hit"), "left_anti")
+def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """The rows of docs whose text contains no item: one scan, no shuffle."""
+    at = docs.columns.index(text_col)
+    out = docs
+    for sent in item_indexes(items, shard_words):
+
+        def drop(batches, sent=sent):
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for rows in _matches(batch.column(at).cast(pa.string()), sent.value, threshold, overlap):
+                    keep[[r[0] for r in rows]] = False
+                yield batch.filter(pa.array(keep))
+
+        out = out.mapInArrow(drop, docs.schema)
+    return out
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,13 +349,13 @@ part AS (
 ), qw AS (
   SELECT item_id, kind, regexp_extract_all(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words FROM qa
 ), qg AS (
-  SELECT item_id, kind, least(3, len(words)) AS k, unnest(list_distinct(list_transform(range(1, len(words) - least(3, len(words)) + 2), lambda p: array_to_string(words[p:p + least(3, len(words)) - 1], ' ')))) AS gram FROM qw WHERE len(words) > 0
+  SELECT item_id, kind, k, unnest(list_distinct(list_transform(range(1, len(words) - k + 2), lambda p: array_to_string(words[p:p + k - 1], ' ')))) AS gram FROM (SELECT *, CASE WHEN len(words) >= 9 THEN 3 ELSE 1 END AS k FROM qw) WHERE len(words) > 0
 ), d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words FROM documents
 ), p AS (
-  SELECT doc_id, unnest(words) AS term, unnest(range(0, len(words))) AS at FROM d
+  SELECT doc_id, unnest(words) AS term, unnest(range(0, len(words))) AS pos FROM d
 ), step AS (
-  SELECT doc_id, term, CAST(floor(at / half) AS BIGINT) AS s FROM p, half WHERE term IN (SELECT term FROM df)
+  SELECT doc_id, term, CAST(floor(pos / half) AS BIGINT) AS s FROM p, half WHERE term IN (SELECT term FROM df)
 ), pas AS (
   SELECT DISTINCT doc_id, s, term FROM (SELECT * FROM step UNION ALL SELECT doc_id, term, s - 1 FROM step WHERE s > 0)
 ), hit AS (
