@@ -45,7 +45,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies = near_duplicates(docs, threshold=SIMILARITY).filter(~F.col("kept")).select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
+    # the list of copies grows with the documents: never broadcast
+    return docs.join(copies.hint("merge"), F.col("doc_id") == F.col("_copy"), "left_anti")
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

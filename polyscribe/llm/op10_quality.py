@@ -210,6 +210,13 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", held_ou
     return model
 
 
+def calibrated(x: np.ndarray, model: dict) -> np.ndarray:
+    """Scores from 0 to 1 of rows of statistics."""
+    raw = _lift(x, model) @ model["beta"]
+    # a slight tilt keeps the order of raw scores inside the flat steps
+    return np.clip(0.995 * np.interp(raw, *model["knots"]) + 0.005 / (1 + np.exp(-4 * (raw - 0.5))), 0, 1)
+
+
 def score(stats: DataFrame, model: dict | None, threshold: float = THRESHOLD, held_out_fold: int = 2) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     held = (F.col("fold") == held_out_fold).alias("held_out")
@@ -217,11 +224,8 @@ def score(stats: DataFrame, model: dict | None, threshold: float = THRESHOLD, he
         return stats.select("doc_id", held, F.lit(1.0).alias("score"), F.lit(1).alias("predicted"))
 
     def apply(batches):
-        x, y = model["knots"]
         for batch in batches:
-            raw = _lift(_matrix(batch), model) @ model["beta"]
-            # a slight tilt keeps the order of raw scores inside the flat steps
-            s = np.clip(0.995 * np.interp(raw, x, y) + 0.005 / (1 + np.exp(-4 * (raw - 0.5))), 0, 1)
+            s = calibrated(_matrix(batch), model)
             at = batch.schema.get_field_index
             yield pa.RecordBatch.from_arrays([batch.column(at("doc_id")), batch.column(at("fold")), pa.array(s)], ["doc_id", "fold", "score"])
 
@@ -233,10 +237,25 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return score(stats, fit(stats, labels, label_col))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier accepts; rows with a null id are scored too but cannot be told apart by id, so they stay."""
-    rejected = classify(docs, labels).filter("predicted = 0").select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, F.col("doc_id") == F.col("_rejected"), "left_anti")
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that the classifier accepts; the second scan, which scores and filters, shuffles nothing."""
+    from polyscribe.llm.kernels import column_bytes, pieces
+
+    stats = materialise(features(docs, id_col, text_col), "quality-stats")
+    model = fit(stats, labels, label_col)
+    discard(stats)
+    if model is None:
+        return docs
+    at = docs.columns.index(text_col)
+
+    def accept(batches):
+        for batch in batches:
+            raw, offsets = column_bytes(batch.column(at).cast(pa.string()))
+            keep = [calibrated(text_statistics(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]).astype(np.float64), model) >= threshold for i, j in pieces(offsets, 2_000_000)]
+            if keep:
+                yield batch.filter(pa.array(np.concatenate(keep)))
+
+    return docs.mapInArrow(accept, docs.schema)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
