@@ -313,16 +313,18 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = materialise(line_links(lists, texts, edits), "line-links")
     discard(lists, need, texts)
     label = components(links).withColumnRenamed("node", "h")
-    classed = every.join(label, "h", "left").select("doc_id", "line", F.coalesce("component", "h").alias("class"))
-    first = classed.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("size")).filter("size > 1")
-    gone = classed.join(first.select("class", "first"), "class").filter(F.struct("doc_id", "line") > F.col("first"))
+    classed = materialise(every.join(label, "h", "left").select("doc_id", "line", F.coalesce("component", "h").alias("class")), "line-classed")
+    # written, so that the join below deals its rows anew and a common line's rows can be split among tasks
+    first = materialise(classed.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("size")).filter("size > 1").select("class", "first"), "line-first")
+    gone = classed.join(first, "class").filter(F.struct("doc_id", "line") > F.col("first"))
     per_doc = materialise(
         gone.select("doc_id", "line", F.col("first.doc_id").alias("first_doc")).distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line", "first_doc"))).alias("_gone")).withColumnRenamed("doc_id", "_line_doc"),
         "line-gone",
     )
-    discard(every)
+    discard(every, classed, first)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
-    joined = docs.join(per_doc, key == F.col("_line_doc"), "left").drop("_line_doc")
+    # what is removed grows with the documents, so this side is never broadcast
+    joined = docs.join(per_doc.hint("merge"), key == F.col("_line_doc"), "left").drop("_line_doc")
     gone_lines = F.coalesce(F.col("_gone.line"), F.array().cast("array<int>"))
     text = F.col(text_col).cast("string")
     pieces_ = F.split(text, "\n", -1)

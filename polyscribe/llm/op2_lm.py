@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyscribe.llm.common import blocks, discard, id_array, materialise, open_block, pack, shards_for, table, unpack
+from polyscribe.llm.common import blocks, discard, forget_shuffles, id_array, materialise, open_block, pack, shards_for, table, unpack
 from polyscribe.llm.kernels import row_of, shingle_hashes, word_hashes, word_spans
 
 ALPHA, ORDER = 0.4, 3
@@ -109,6 +109,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a
     bits = min(64, max(32, int(total * ORDER).bit_length() + 27))
     shards = max(24, shards_for(total, 4_000_000))
     answers = materialise(count_tables(held, ORDER, bits, shards), "lm-counts")
+    forget_shuffles(docs.sparkSession)  # the packed n-grams, the largest data on disk, are answered
     listed = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "totals")).alias("answers"))
 
     def finish(batches):
