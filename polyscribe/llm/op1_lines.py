@@ -8,7 +8,9 @@ confirmed with a banded bit-parallel edit distance inside tasks of bounded size,
 return a spanning forest, so that groups of copies never become pairs of rows. Classes are the links' connected components.
 
 Of each class the first line (smallest doc_id, then line number) stays and the others go. Lines of fewer than
-``min_chars`` code points are left alone: headings and single words repeat in good text.
+``min_chars`` code points are left alone, or with ``short`` take part with edits scaled to their length: the shorter line
+of l code points allows l * edits // min_chars edits (with 2 and 25: 1 from 13 code points, and below only exact repeats
+meet, down to one code point). Short lines of blanks alone always stay, as they part paragraphs.
 
 Defined cases. Null or empty text: no lines. A null id sorts first. Rows that repeat an id are the same document:
 lines at equal positions do not remove one another. Ties cannot occur otherwise. Lines are what
@@ -56,6 +58,8 @@ class Lines:
         new[1:] = self.doc[1:] != self.doc[:-1]
         lead_at = np.flatnonzero(new)
         self.number = np.arange(len(self.doc)) - np.repeat(lead_at, np.diff(np.append(lead_at, len(self.doc))))
+        ink = np.concatenate([[0], np.cumsum((self.points != 32) & ((self.points < 9) | (self.points > 13)))])
+        self.blank = ink[self.stops] == ink[self.starts]
         self.prefix = np.zeros(len(self.points) + 1, np.uint64)
         np.cumsum(mix(self.points.astype(np.uint64) + np.uint64(1)) * powers(base, len(self.points)), out=self.prefix[1:])
 
@@ -80,6 +84,19 @@ def segments(length: np.ndarray, count: int) -> list[tuple[np.ndarray, np.ndarra
     return out
 
 
+def counted(lines: Lines, min_chars: int, short: bool) -> np.ndarray:
+    """Which lines count: the long ones, and with ``short`` the others that are not blank."""
+    return (lines.length >= min_chars) | (~lines.blank if short else False)
+
+
+def tiers(edits: int, min_chars: int, short: bool) -> list[tuple[int, int, float]]:
+    """(k, least, most): the lengths of lines between which pairs with up to k edits are sought."""
+    out = [(edits, min_chars, np.inf)]
+    for k in range(edits - 1, 0, -1) if short else ():
+        out.append((k, -(-min_chars * k // edits), out[-1][1] - 1 + k))  # a line of the next tier may be the longer one of a pair
+    return out
+
+
 def join_keys(lines: Lines, chosen: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(key, line, is_index) of every index and probe entry of the chosen lines."""
     from polyscribe.llm.kernels import mix
@@ -150,7 +167,7 @@ def banded(a: list, b: list, k: int) -> int:
     return score
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
+def line_table(docs: DataFrame, id_col: str, text_col: str, min_chars: int, short: bool = False) -> DataFrame:
     """doc_id, line (its number), h for every line that counts; null ids as the smallest long."""
     from polyscribe.llm.kernels import column_bytes, pieces
 
@@ -160,13 +177,13 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> D
             ids = batch.column(0).fill_null(NULL_ID).to_numpy()
             for i, j in pieces(offsets, 1_000_000):
                 x = Lines(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                use = x.length >= min_chars
+                use = counted(x, min_chars, short)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i + x.doc[use]]), pa.array(x.number[use].astype(np.int32)), pa.array(x.hashes()[use].view(np.int64))], ["doc_id", "line", "h"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(compute, "doc_id long, line int, h long")
 
 
-def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines: int) -> DataFrame:
+def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines: int, short: bool = False) -> DataFrame:
     """(task, left, right): lists of different line hashes to compare; right is empty where left meets itself."""
     from polyscribe.llm.kernels import column_bytes, pieces
 
@@ -179,13 +196,19 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
             raw, offsets = column_bytes(batch.column(0))
             for i, j in pieces(offsets, 3_000_000):
                 x = Lines(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                use = np.flatnonzero(x.length >= min_chars)
+                use = np.flatnonzero(counted(x, min_chars, short))
                 h, first = np.unique(x.hashes()[use], return_index=True)
-                if not len(h):
+                use, found = use[first], []
+                for k, least, most in tiers(edits, min_chars, short):
+                    at = np.flatnonzero((x.length[use] >= least) & (x.length[use] <= most))
+                    if len(at):
+                        keys, who, kind = join_keys(x, use[at], k)
+                        found.append((keys, h[at][who], kind))
+                if not found:
                     continue
-                keys, who, kind = join_keys(x, use[first], edits)
+                keys, who, kind = (np.concatenate(c) for c in zip(*found, strict=True))
                 order = np.argsort(keys, kind="stable")
-                keys, who, kind = keys[order], h[who[order]], kind[order]
+                keys, who, kind = keys[order], who[order], kind[order]
                 cut = np.concatenate([[0], np.searchsorted(keys, np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)), [len(keys)]])
                 out = {n: [] for n in part.names}
                 for s in range(shards):
@@ -234,7 +257,7 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
     return sent.groupBy("shard").applyInArrow(meet, "task long, left array<long>, right array<long>").dropDuplicates(["task"])
 
 
-def line_texts(docs: DataFrame, need: DataFrame, text_col: str, min_chars: int) -> DataFrame:
+def line_texts(docs: DataFrame, need: DataFrame, text_col: str, min_chars: int, short: bool = False) -> DataFrame:
     """(h, points): the code points of each wanted line once."""
     from polyscribe.llm.kernels import column_bytes, pieces
 
@@ -248,7 +271,7 @@ def line_texts(docs: DataFrame, need: DataFrame, text_col: str, min_chars: int)
             raw, offsets = column_bytes(batch.column(0))
             for i, j in pieces(offsets, 1_000_000):
                 x = Lines(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                use = np.flatnonzero(x.length >= min_chars)
+                use = np.flatnonzero(counted(x, min_chars, short))
                 h, first = np.unique(x.hashes()[use].view(np.int64), return_index=True)
                 use = use[first]
                 if wanted is not None and len(h):
@@ -263,7 +286,7 @@ def line_texts(docs: DataFrame, need: DataFrame, text_col: str, min_chars: int)
     return made.dropDuplicates(["h"])
 
 
-def line_links(lists: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+def line_links(lists: DataFrame, texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
     """(a, b) line hashes: a spanning forest of each task's confirmed links."""
     from polyscribe.llm.op8_neardup import _groups
 
@@ -290,7 +313,7 @@ def line_links(lists: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
                 for i, a in enumerate(left):
                     for b in right or left[i + 1 :]:
                         p, q = find(a), find(b)
-                        if p != q and within(have[a], have[b], edits):
+                        if p != q and within(have[a], have[b], min(edits, min(len(have[a]), len(have[b])) * edits // min_chars)):
                             root[max(p, q)] = min(p, q)
                             out.append((a, b))
             if out:
@@ -299,18 +322,19 @@ def line_links(lists: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return rows.mapInArrow(check, "a long, b long")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, result_prefix: str = "") -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, result_prefix: str = "", short: bool = False) -> DataFrame:
     """The rows of docs with their columns, and n_lines, removed (line numbers), first_docs (who keeps each removed line's class), kept.
 
     ``result_prefix`` goes before the names of the added columns, for tables that have columns of these names.
+    ``short`` takes in the lines under ``min_chars``.
     """
     if min_chars <= edits + 1:
         raise ValueError("min_chars must exceed edits + 1, so that every segment has text")
-    every = materialise(line_table(docs, id_col, text_col, min_chars), "line-table")
-    lists = materialise(meetings(docs, text_col, edits, min_chars, every.count()), "line-lists")
+    every = materialise(line_table(docs, id_col, text_col, min_chars, short), "line-table")
+    lists = materialise(meetings(docs, text_col, edits, min_chars, every.count(), short), "line-lists")
     need = materialise(lists.select(F.explode(F.concat("left", "right")).alias("h")).distinct(), "line-need")
-    texts = materialise(line_texts(docs, need, text_col, min_chars), "line-texts")
-    links = materialise(line_links(lists, texts, edits), "line-links")
+    texts = materialise(line_texts(docs, need, text_col, min_chars, short), "line-texts")
+    links = materialise(line_links(lists, texts, edits, min_chars), "line-links")
     discard(lists, need, texts)
     label = components(links).withColumnRenamed("node", "h")
     classed = materialise(every.join(label, "h", "left").select("doc_id", "line", F.coalesce("component", "h").alias("class")), "line-classed")
@@ -339,5 +363,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), short=True)
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", "first_docs", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from polyscribe.llm.op1_lines import line_dedup, within
+from polyscribe.llm.op1_lines import line_dedup, op1_lines, within
 from tests.llm.helpers import edge_rows, prose, table
 
 
@@ -103,3 +103,39 @@ def test_edge_rows(spark):
 def test_short_lines_need_segments(spark):
     with pytest.raises(ValueError):
         line_dedup(table(spark, [(1, "x")]), min_chars=3)
+
+
+def test_short_lines(spark):
+    """Lines of every length that is not blank, with edits scaled to the length, against brute force."""
+    base = ["Les.", "And ornd.", "x", "  ", "Erheed. Tit.", "All rights reserved.", "Titionly in enshst.", prose(3, 4)[:24], prose(3, 4)[:25], prose(4, 5)[:26], ""]
+    near = ["Lez.", "And ornb.", "y", "\t", "Erheed, Tit.", "All rights reservd.", "Titionly im ensht.", prose(3, 4)[:23], prose(4, 5)[1:26], "Erheed. Titl.", "Erheed, Titl."]
+    rows = [(d, "\n".join([*base, prose(900 + d, 9)] if d % 2 else [*near[d % 3 :], base[d % 11], prose(900 + d, 9)])) for d in range(12)]
+    places = defaultdict(list)
+    for d, text in rows:
+        for k, x in enumerate(text.split("\n")):
+            if x.strip():
+                places[x].append((d, k))
+    root = {x: x for x in places}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in places:
+        for b in places:
+            if a < b and distance(a, b) <= min(2, min(len(a), len(b)) * 2 // 25):
+                root[find(a)] = find(b)
+    groups = defaultdict(set)
+    for x, at in places.items():
+        groups[find(x)] |= set(at)
+    gone = {p: min(g)[0] for g in groups.values() for p in g if p[0] != min(g)[0] or p[1] != min(g)[1]}
+    out = line_dedup(table(spark, rows), short=True).collect()
+    got = {(r["doc_id"], k): f for r in out for k, f in zip(r["removed"], r["first_docs"], strict=True)}
+    assert got == gone and any(len(x) < 13 for x in places)
+
+
+def test_query_removes_repeated_short_lines(spark, tmp_path):
+    table(spark, [(1, "And ornd.\n\n" + prose(1, 9)), (2, "And ornd.\n\n" + prose(2, 9))]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["removed"], r["first_docs"]) for r in op1_lines(spark, str(tmp_path)).collect()}
+    assert got == {1: ([], []), 2: ([0], [1])}
