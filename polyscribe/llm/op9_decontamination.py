@@ -10,6 +10,8 @@
    these two bounds are taken for many passages at once. The others run block-max WAND over the posting lists.
 4. A retrieved pair is verified: enough of the question's and of the answer's word n-grams must stand in the passage.
    The answer is what follows the last sentence end inside the item; an item of one sentence is cut after two thirds.
+   A part without words, or with one word that one edit undoes, may instead reach the overlap by the n-grams of the
+   whole item; the larger of the two shares is given.
 
 The index is sent to the executors in shards of about ``SHARD_WORDS`` item words each, one scan of the documents a
 shard, so the size of what is broadcast is bounded however long the list of items is.
@@ -83,6 +85,13 @@ def part_ngrams(text: str) -> tuple[int, np.ndarray]:
     return n, ngrams(h, n)
 
 
+def whole_ngrams(text: str) -> tuple[int, np.ndarray]:
+    """(n, the distinct n-grams) of a whole item: never single words, where it has more, as these stand in many passages."""
+    h = _hashes(text)
+    n = max(1, min(NGRAM, len(h)))
+    return n, ngrams(h, n)
+
+
 class Index:
     """Posting lists of one shard's items by term, with the maxima that block-max WAND needs."""
 
@@ -92,6 +101,7 @@ class Index:
         number = {uid: k for k, (uid, _, _) in enumerate(items)}
         self.ids = [i for _, i, _ in items]
         self.parts = [tuple(part_ngrams(p) for p in split_item(t)) for _, _, t in items]
+        self.whole = [whole_ngrams(t) if min(len(g) for _, g in parts) < 2 else None for (_, _, t), parts in zip(items, self.parts, strict=True)]
         self.half = half
         term = np.array([t for _, t, _ in postings], np.int64).view(np.uint64)
         item = np.array([number[u] for u, _, _ in postings], np.int64)
@@ -216,8 +226,12 @@ class Index:
             for item, score in self.search(term[edge[p] : edge[p + 1]].tolist(), threshold):
                 if here is None:
                     words = h[at[text] + first : min(at[text] + first + 2 * self.half, at[text + 1])]
-                    here = {n: ngrams(words, n) for n in (1, NGRAM)}
-                shares = [float(np.isin(part, here[n]).mean()) if len(part) else 0.0 for n, part in self.parts[item]]
+                    here = {n: ngrams(words, n) for n in range(1, NGRAM + 1)}
+                share = lambda n, grams: float(np.isin(grams, here[n]).mean()) if len(grams) else 0.0
+                shares = [share(n, part) for n, part in self.parts[item]]
+                if self.whole[item] is not None and min(shares) < 1:
+                    whole = share(*self.whole[item])
+                    shares = [max(x, whole) if len(part) < 2 else x for x, (_, part) in zip(shares, self.parts[item], strict=True)]
                 if min(shares) >= overlap - 1e-9:
                     row = (score, *shares, first)
                     old = best.get((text, item))

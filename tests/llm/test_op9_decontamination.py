@@ -85,3 +85,14 @@ def test_edges(spark):
 
 def test_sql(spark, data):
     compare(op.op9_decontamination(spark, data), op.SQL, data)
+
+
+def test_items_with_a_part_of_no_words_or_one(spark):
+    body = prose(901, 14, 300)
+    rows = [(1, f'{body}. """'), (2, f"{prose(902, 14, 300)} is called. ____"), (3, f"... {prose(903, 14, 300)}"), (4, "2 + 2 = ?"), (5, f"{prose(905, 14, 300)}? Yes"), (6, "7 ?")]
+    docs = [(10 + i, f"{prose(i, 40, 300)} {t} {prose(i + 50, 30, 300)}") for i, t in rows[:4]]
+    docs += [(25, f"{rows[4][1][:-3]} No. {prose(60, 30, 300)}"), (26, f"{rows[4][1]} {prose(61, 30, 300)}"), (31, prose(62, 60, 300)), (32, "page 2 of 9"), (33, f"No. {' '.join(reversed(body.split()))}")]
+    got = {(r["doc_id"], r["item_id"]): r for r in op.contaminated(table(spark, docs), items(spark, rows)).collect()}
+    assert set(got) == {(11, 1), (12, 2), (13, 3), (14, 4), (25, 5), (26, 5)}
+    assert got[11, 1]["answer_overlap"] == 1 and got[26, 5]["answer_overlap"] == 1 and 0.5 <= got[25, 5]["answer_overlap"] < 1
+    assert op.keep_clean(table(spark, docs), items(spark, rows)).count() == 3
