@@ -334,7 +334,14 @@ def _plain(words: DataFrame) -> DataFrame:
 _PLAIN = f"{_W}, {_B}, fw AS (SELECT DISTINCT lower(text) AS word FROM w WHERE regexp_matches(lower(text), '^[a-z]{{4,}}$')), fe AS (SELECT DISTINCT lower(text) AS entry FROM b WHERE regexp_matches(lower(text), '^[a-z]{{4,}}$'))"
 
 
+def _cores(words: DataFrame) -> DataFrame:
+    """(word): the distinct lower-cased cores, of every length and script."""
+    raw = words.select("text").distinct()
+    return raw.select(J.lower_word(T.token_core("text")).alias("word")).filter("word != ''").distinct()
+
+
 def _fuzzy(spark, d) -> DataFrame:
+    """Plain words only: DuckDB's levenshtein counts bytes."""
     entries = _plain(W.text_words(_table(spark, d, "benchmark"), "item_id")).withColumnRenamed("word", "entry")
     return Z.fuzzy_pairs(_plain(_words(spark, d)), entries)
 
@@ -346,12 +353,14 @@ def fuzzy_matches(spark, d):
 
 @query()
 def weighted_best(spark, d):
-    return Z.best_candidates(Z.weighted_candidates(_fuzzy(spark, d).filter("distance > 0")))
+    entries = _cores(W.text_words(_table(spark, d, "benchmark"), "item_id")).withColumnRenamed("word", "entry")
+    pairs = Z.fuzzy_pairs(_cores(_words(spark, d)), entries)
+    return Z.best_candidates(Z.weighted_candidates(pairs.filter("distance > 0")))
 
 
 @query()
 def lev_ratio(spark, d):
-    entries = _plain(W.text_words(_table(spark, d, "benchmark"), "item_id"))
+    entries = _cores(W.text_words(_table(spark, d, "benchmark"), "item_id"))
     pairs = Z.fuzzy_pairs(entries, entries.withColumnRenamed("word", "entry"), 2)
     return pairs.select("word", "entry", F.round(S.lev_ratio(F.col("word"), F.col("entry")), 6).alias("ratio"))
 
