@@ -4,17 +4,21 @@
    item's score for its own text, so that a passage's score is the share of the item's evidence that it holds and one
    threshold fits items of all lengths. Document frequencies and lengths are taken over all items.
 2. Every whole document is cut into passages of ``2 * half`` words, one every ``half`` words, where ``half`` is no less
-   than the longest item: each run of words as long as an item lies whole in some passage.
-3. Each passage queries the index for all items at or above ``threshold``. Passages whose terms' largest weights cannot
-   sum to the threshold hold no pivot and end there, as do those whose block maxima cannot for any block of items;
-   these two bounds are taken for many passages at once. The others run block-max WAND over the posting lists.
+   than the item: each run of words as long as the item lies whole in some passage. ``half`` is 64, or the next power of
+   two for longer items; items of one ``half`` share an index.
+3. Each passage queries the index for all items at or above ``threshold`` by block-max WAND, many passages at a time:
+   a passage whose terms' largest weights cannot sum to the threshold holds no pivot and ends there; else block maxima
+   bound its score in every block of 64 items, in the blocks that reach the threshold every block of 8, and in those
+   of these that do the items themselves. Nothing at or above the threshold is passed over.
 4. A retrieved pair is verified: enough of the question's and of the answer's word n-grams must stand in the passage.
    The answer is what follows the last sentence end inside the item; an item of one sentence is cut after two thirds.
    A part without words, or with one word that one edit undoes, may instead reach the overlap by the n-grams of the
    whole item; the larger of the two shares is given.
 
-The index is sent to the executors in shards of about ``SHARD_WORDS`` item words each, one scan of the documents a
-shard, so the size of what is broadcast is bounded however long the list of items is.
+The index is sent to the executors in shards of about ``SHARD_WORDS`` item words each, one scan of the documents and one
+index on the executors at a time, so the size of what is broadcast is bounded however long the list of items is.
+Weights are whole numbers of 1e-12, so that an item that stands whole in two passages scores the same in both; then the
+larger overlaps and the earlier passage hold.
 
 Words are runs of ASCII letters and digits and of non-ASCII characters; A-Z are lower-cased.
 
@@ -25,7 +29,6 @@ reported for each. Empty tables give an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from math import ceil
 
 import numpy as np
@@ -39,8 +42,12 @@ K1, B = 1.2, 0.75
 THRESHOLD, OVERLAP, HALF = 0.5, 0.5, 64
 #: Parts of at least LONG words are compared by n-grams, shorter ones by single words, so that one edit cannot undo them.
 NGRAM, LONG = 3, 9
-#: Postings of a block in a list, and items of a block in the grid of bounds.
-BLOCK = 64
+#: Items of a block on each level of maxima, down to single items.
+WIDTHS = (64, 8, 1)
+#: Cells of the first level looked at at once.
+CELLS = 400_000
+#: Weights are whole numbers of 1 / UNIT, so that sums are exact in any order and equal scores are equal.
+UNIT = 10**12
 SHARD_WORDS = 1_000_000
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[48:58], _FOLD[97:123], _FOLD[128:] = np.arange(48, 58), np.arange(97, 123), np.arange(128, 256)
@@ -92,12 +99,26 @@ def whole_ngrams(text: str) -> tuple[int, np.ndarray]:
     return n, ngrams(h, n)
 
 
+class Level:
+    """Cells (term, block of ``width`` items) with the largest weight in each; blocks of one item are the postings themselves."""
+
+    def __init__(self, term: np.ndarray, item: np.ndarray, weight: np.ndarray, width: int):
+        """Postings in the order (term, item)."""
+        block = item // width
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        self.at = np.flatnonzero(new)
+        self.block = block[self.at]
+        self.top = np.maximum.reduceat(weight, self.at) if len(term) else np.empty(0)
+
+
 class Index:
     """Posting lists of one shard's items by term, with the maxima that block-max WAND needs."""
 
     def __init__(self, items: list[tuple], postings: list[tuple], half: int):
-        """items: (uid, item_id, text); postings: (uid, term, weight)."""
-        items = sorted(items, key=lambda x: x[0])
+        """items: (uid, item_id, text); postings: (uid, term, weight in whole units of 1 / UNIT)."""
+        # items of like length have like weights, which keeps a block's maxima near its items' weights
+        items = sorted(items, key=lambda x: (len(x[2]), x[0]))
         number = {uid: k for k, (uid, _, _) in enumerate(items)}
         self.ids = [i for _, i, _ in items]
         self.parts = [tuple(part_ngrams(p) for p in split_item(t)) for _, _, t in items]
@@ -107,78 +128,50 @@ class Index:
         item = np.array([number[u] for u, _, _ in postings], np.int64)
         weight = np.array([w for _, _, w in postings], np.float64)
         order = np.lexsort((item, term))
-        term, self.item, self.weight = term[order], item[order], weight[order]
+        term, item, weight = term[order], item[order], weight[order]
         self.terms, begin = np.unique(term, return_index=True)
-        self.begin = np.append(begin, len(term))
-        self.top = np.maximum.reduceat(self.weight, begin) if len(term) else np.empty(0)
-        # the grid: for each term the blocks of items that it occurs in, with the largest weight in each
-        self.n_blocks = len(items) // BLOCK + 1
-        of = np.repeat(np.arange(len(self.terms)), np.diff(self.begin)) * self.n_blocks + self.item // BLOCK
-        cells, at = np.unique(of, return_index=True)
-        self.cell_block = cells % self.n_blocks
-        self.cell_top = np.maximum.reduceat(self.weight, at) if len(at) else np.empty(0)
-        self.cell_begin = np.searchsorted(cells, np.arange(len(self.terms) + 1) * self.n_blocks)
-        self._lists: dict[int, tuple] = {}
-
-    def postings(self, t: int) -> tuple:
-        """(items, weights, last item of each block, largest weight of each block, largest weight) of a term."""
-        if t not in self._lists:
-            a, b = self.begin[t], self.begin[t + 1]
-            items, weights = self.item[a:b].tolist(), self.weight[a:b].tolist()
-            cuts = range(0, b - a, BLOCK)
-            self._lists[t] = items, weights, [items[min(c + BLOCK, b - a) - 1] for c in cuts], [max(weights[c : c + BLOCK]) for c in cuts], float(self.top[t])
-        return self._lists[t]
-
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """All (item number, score) with a score of at least ``threshold`` for these distinct terms, by block-max WAND."""
-        lists = [self.postings(t) for t in terms]
-        place = [0] * len(lists)
-        live = list(range(len(lists)))
-        current = [x[0][0] for x in lists]
-        found, least = [], threshold - 1e-9
-
-        def advance(k: int, to: int) -> bool:
-            place[k] = bisect_left(lists[k][0], to, place[k])
-            if place[k] == len(lists[k][0]):
-                return False
-            current[k] = lists[k][0][place[k]]
-            return True
-
-        while live:
-            live.sort(key=current.__getitem__)
-            bound, pivot = 0.0, -1
-            for i, k in enumerate(live):
-                bound += lists[k][4]
-                if bound >= least:
-                    pivot = i
+        self.top = np.maximum.reduceat(weight, begin) if len(term) else np.empty(0)
+        self.n_blocks = len(items) // WIDTHS[0] + 1
+        self.levels = [Level(term, item, weight, w) for w in WIDTHS]
+        # where each term's cells begin on the first level, and each cell's on the next level
+        self.begin = np.searchsorted(self.levels[0].at, np.append(begin, len(term)))
+        self.inner = [np.searchsorted(low.at, np.append(high.at, len(term))) for high, low in zip(self.levels[:-1], self.levels[1:], strict=True)]
+
+    def search(self, passage: np.ndarray, term: np.ndarray, least: float):
+        """(passage, item number, score) of all items at or above ``least``, for passages numbered from 0 and their distinct terms.
+
+        Block-max WAND for many passages at once: a (passage, block) cell whose maxima cannot reach ``least`` holds no pivot and is left with
+        all its postings; the others are cut into smaller blocks, down to single items, whose maxima are their scores.
+        """
+        edge = np.searchsorted(passage, np.arange((int(passage[-1]) if len(passage) else -1) + 2))
+        many = np.diff(self.begin)[term]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        i, n = 0, len(edge) - 1
+        while i < n:  # some hundred thousand cells of the first level at a time
+            j = max(i + 1, int(np.searchsorted(ends[edge], ends[edge[i]] + CELLS, "right")) - 1)
+            j = min(j, i + max(1, 8 * CELLS // self.n_blocks), n)
+            a, b = edge[i], edge[j]
+            count = many[a:b]
+            cell = _ranges(self.begin[term[a:b]], count)
+            key = np.repeat((passage[a:b] - i) * self.n_blocks, count) + self.levels[0].block[cell]
+            row, block, size = np.arange((j - i) * self.n_blocks) // self.n_blocks, np.arange((j - i) * self.n_blocks) % self.n_blocks, (j - i) * self.n_blocks
+            for k, level in enumerate(self.levels):
+                bound = np.bincount(key, level.top[cell], minlength=size)
+                alive = bound >= least
+                row, block = row[alive], block[alive]
+                if not len(row):
                     break
-            if pivot < 0:
-                break
-            target = current[live[pivot]]
-            while pivot + 1 < len(live) and current[live[pivot + 1]] == target:
-                pivot += 1
-            ahead, bound, reach = live[: pivot + 1], 0.0, None
-            for k in ahead:
-                block = bisect_left(lists[k][2], target)
-                if block < len(lists[k][2]):
-                    bound += lists[k][3][block]
-                    reach = lists[k][2][block] if reach is None else min(reach, lists[k][2][block])
-            if bound < least:
-                # no item up to the nearest block end can reach the threshold with these lists alone
-                to = max(target + 1, reach + 1 if reach is not None else target + 1)
-                if pivot + 1 < len(live):
-                    to = max(target + 1, min(to, current[live[pivot + 1]]))
-                ended = {k for k in ahead if not advance(k, to)}
-            elif current[live[0]] == target:
-                score = sum(lists[k][1][place[k]] for k in ahead)
-                if score >= least:
-                    found.append((target, score))
-                ended = {k for k in ahead if not advance(k, target + 1)}
-            else:
-                ended = {k for k in ahead if current[k] < target and not advance(k, target)}
-            if ended:
-                live = [k for k in live if k not in ended]
-        return found
+                if k + 1 == len(self.levels):
+                    yield row + i, block, bound[alive]
+                    break
+                ratio = WIDTHS[k] // WIDTHS[k + 1]
+                stays = alive[key]
+                kept, cell = (np.cumsum(alive) - 1)[key[stays]], cell[stays]
+                count = np.diff(self.inner[k])[cell]
+                cell = _ranges(self.inner[k][cell], count)
+                key = np.repeat((kept - block[kept]) * ratio, count) + self.levels[k + 1].block[cell]
+                row, block, size = np.repeat(row, ratio), np.repeat(block * ratio, ratio) + np.tile(np.arange(ratio), len(block)), len(row) * ratio
+            i = j
 
     def matches(self, h: np.ndarray, at: np.ndarray, threshold: float, overlap: float):
         """(text, item number, score, question overlap, answer overlap, passage's first word) of verified pairs, the best passage of each."""
@@ -198,50 +191,38 @@ class Index:
         passage = np.concatenate([base[owner] + step, (base[owner] + step - 1)[step > 0]])
         key = np.unique(passage * len(self.terms) + np.concatenate([term, term[step > 0]]))
         passage, term = key // len(self.terms), key % len(self.terms)
-        least = threshold - 1e-9
+        least = round(threshold * UNIT) - UNIT // 10**9
         hopeful = (np.bincount(passage, self.top[term], minlength=base[-1]) >= least)[passage]
-        passage, term = passage[hopeful], term[hopeful]
-        if not len(passage):
-            return []
-        names, passage = np.unique(passage, return_inverse=True)
-        reached = np.zeros(len(names), bool)
-        edge = np.append(np.searchsorted(passage, np.arange(len(names))), len(passage))
-        many = np.diff(self.cell_begin)[term]
-        ends = np.cumsum(many)
-        i = 0
-        while i < len(names):  # about a million cells at a time
-            before = ends[edge[i] - 1] if edge[i] else 0
-            j = max(i + 1, int(np.searchsorted(ends[edge[1:] - 1], before + 1_000_000, "right")))
-            a, b = edge[i], edge[j]
-            n = many[a:b]
-            cell = np.repeat(self.cell_begin[term[a:b]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            grid = np.bincount(np.repeat(passage[a:b] - i, n) * self.n_blocks + self.cell_block[cell], self.cell_top[cell], minlength=(j - i) * self.n_blocks)
-            reached[i:j] = grid.reshape(j - i, -1).max(1) >= least
-            i = j
+        names, passage = np.unique(passage[hopeful], return_inverse=True)
         best: dict[tuple[int, int], tuple] = {}
-        for p in np.flatnonzero(reached):
-            text = int(np.searchsorted(base, names[p], "right")) - 1
-            first = int(names[p] - base[text]) * self.half
-            here = None
-            for item, score in self.search(term[edge[p] : edge[p + 1]].tolist(), threshold):
-                if here is None:
+        for rows, items, scores in self.search(passage, term[hopeful], least):
+            before = None
+            for p, item, score in zip(names[rows].tolist(), items.tolist(), scores.tolist(), strict=True):
+                if p != before:
+                    before, text = p, int(np.searchsorted(base, p, "right")) - 1
+                    first = int(p - base[text]) * self.half
                     words = h[at[text] + first : min(at[text] + first + 2 * self.half, at[text + 1])]
                     here = {n: ngrams(words, n) for n in range(1, NGRAM + 1)}
-                share = lambda n, grams: float(np.isin(grams, here[n]).mean()) if len(grams) else 0.0
+                share = lambda n, grams, here=here: float(np.isin(grams, here[n]).mean()) if len(grams) else 0.0
                 shares = [share(n, part) for n, part in self.parts[item]]
                 if self.whole[item] is not None and min(shares) < 1:
                     whole = share(*self.whole[item])
                     shares = [max(x, whole) if len(part) < 2 else x for x, (_, part) in zip(shares, self.parts[item], strict=True)]
                 if min(shares) >= overlap - 1e-9:
-                    row = (score, *shares, first)
+                    row = (score / UNIT, *shares, first)
                     old = best.get((text, item))
                     if old is None or (row[:3], -first) > (old[:3], -old[3]):
                         best[text, item] = row
         return [(*k, *v) for k, v in sorted(best.items())]
 
 
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... (count[0] values), begin[1], ..."""
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
 def weighted_postings(items: DataFrame) -> DataFrame:
-    """uid, term, weight of items (uid, text): BM25 contributions as shares of the item's score for itself."""
+    """uid, term, weight of items (uid, text): BM25 contributions as shares of the item's score for itself, in units of 1 / UNIT."""
     from polyscribe.llm.kernels import column_bytes, row_of
 
     def compute(batches):
@@ -265,7 +246,7 @@ def weighted_postings(items: DataFrame) -> DataFrame:
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("size") / mean))
     scored = materialise(counts.join(df, "term").select("uid", "term", part.alias("part")), "bm25-parts")
     own = scored.groupBy("uid").agg(F.sum("part").alias("own"))
-    out = materialise(scored.join(own, "uid").select("uid", "term", (F.col("part") / F.col("own")).alias("weight")), "bm25-weights")
+    out = materialise(scored.join(own, "uid").select("uid", "term", F.round(F.col("part") / F.col("own") * UNIT).cast("long").alias("weight")), "bm25-weights")
     discard(counts, scored)
     return out
 
@@ -274,19 +255,25 @@ FIELDS = [("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64(
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, first_word long"
 
 
-def item_indexes(items: DataFrame, shard_words: int = SHARD_WORDS) -> list:
-    """Broadcast indexes of the items, one for each shard; a shard's size is bounded by its number of words."""
-    spark = items.sparkSession
+def item_indexes(items: DataFrame, shard_words: int = SHARD_WORDS):
+    """Indexes of the items one after the other, each of items of one length class and bounded by its number of words.
+
+    A class holds the items of up to ``half`` words, a power of two and HALF at least, so that no item's passages are as long as another's need.
+    """
     listed = items.select(F.coalesce(F.col("item_id").cast("long"), F.lit(NULL_ID)).alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
-    listed = materialise(listed.withColumn("uid", F.xxhash64("item_id", "text")).withColumn("words", F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"))), "bm25-items")
-    words, longest = listed.agg(F.sum("words"), F.max("words")).first()
+    words = F.size(F.split("text", r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"))
+    half = F.greatest(F.lit(HALF), F.expr("shiftleft(1, length(bin(words - 1)))"))
+    listed = materialise(listed.withColumn("uid", F.xxhash64("item_id", "text")).withColumn("words", words).withColumn("half", half), "bm25-items")
     weights = weighted_postings(listed)
-    shards = max(1, -(-(words or 0) // shard_words))
-    shard, half = F.pmod(F.xxhash64(F.col("uid")), F.lit(shards)), max(HALF, longest or 0)
-    part = lambda df, k, *columns: [tuple(r) for r in df.filter(shard == k).select(*columns).collect()]
-    made = [spark.sparkContext.broadcast(Index(part(listed, k, "uid", "item_id", "text"), part(weights, k, "uid", "term", "weight"), half)) for k in range(shards)]
-    discard(listed, weights)
-    return made
+    classes = [tuple(r) for r in listed.groupBy("half").agg(F.sum("words")).orderBy("half").collect()]
+    classed = materialise(weights.join(listed.select("uid", "half"), "uid"), "bm25-classed") if len(classes) > 1 else weights.withColumn("half", F.lit(classes[0][0] if classes else HALF))
+    for half, total in classes:
+        shards = max(1, -(-total // shard_words))
+        shard = F.pmod(F.xxhash64(F.col("uid")), F.lit(shards))
+        for k in range(shards):
+            part = lambda df, *columns: [tuple(r) for r in df.filter((F.col("half") == half) & (shard == k)).select(*columns).collect()]  # noqa: B023, E731
+            yield Index(part(listed, "uid", "item_id", "text"), part(classed, "uid", "term", "weight"), half)
+    discard(listed, weights, classed)
 
 
 def _matches(column: pa.Array, index: Index, threshold: float, overlap: float):
@@ -301,9 +288,11 @@ def _matches(column: pa.Array, index: Index, threshold: float, overlap: float):
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_words: int = SHARD_WORDS) -> DataFrame:
     """A row for each document and item that it contains: scores of the best passage and the word at which that begins."""
+    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    found = None
-    for sent in item_indexes(items, shard_words):
+    found = spark.createDataFrame([], SCHEMA)
+    for index in item_indexes(items, shard_words):
+        sent = spark.sparkContext.broadcast(index)
 
         def search(batches, sent=sent):
             for batch in batches:
@@ -313,16 +302,19 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                         text, item, *rest = zip(*rows, strict=True)
                         yield pa.RecordBatch.from_arrays([id_array(ids[np.array(text)]), id_array([sent.value.ids[x] for x in item]), *(pa.array(c, t) for c, (_, t) in zip(rest, FIELDS[2:], strict=True))], schema=pa.schema(FIELDS))
 
-        part = texts.mapInArrow(search, SCHEMA)
-        found = part if found is None else found.unionAll(part)
+        # written, so that one index at a time is on the executors
+        found = found.unionAll(materialise(texts.mapInArrow(search, SCHEMA), "bm25-found"))
+        sent.destroy()
     return found
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """The rows of docs whose text contains no item: one scan, no shuffle."""
-    at = docs.columns.index(text_col)
-    out = docs
-    for sent in item_indexes(items, shard_words):
+    """The rows of docs whose text contains no item: one scan and no shuffle for each index, which the executors hold one at a time."""
+    spark = docs.sparkSession
+    at, schema = docs.columns.index(text_col), docs.schema
+    out, before = docs, None
+    for index in item_indexes(items, shard_words):
+        sent = spark.sparkContext.broadcast(index)
 
         def drop(batches, sent=sent):
             for batch in batches:
@@ -331,7 +323,11 @@ def keep_clean(docs: DataFrame, items: DataFrame, text_col: str = "text", thresh
                     keep[[r[0] for r in rows]] = False
                 yield batch.filter(pa.array(keep))
 
-        out = out.mapInArrow(drop, docs.schema)
+        out = materialise(out.mapInArrow(drop, schema), "bm25-clean")
+        sent.destroy()
+        if before is not None:
+            discard(before)
+        before = out
     return out
 
 
@@ -346,16 +342,15 @@ WITH i AS (
   SELECT DISTINCT item_id, coalesce(text, '') AS text FROM benchmark
 ), iw AS (
   SELECT item_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS raw, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS words,
-         len(regexp_split_to_array(text, '[^0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS pieces FROM i
-), half AS (SELECT greatest(64, max(pieces)) AS half FROM iw),
-tf AS (
-  SELECT item_id, term, count(*) AS tf, any_value(size) AS size FROM (SELECT item_id, unnest(words) AS term, len(words) AS size FROM iw) GROUP BY item_id, term
+         greatest(64, 1 << len(bin(len(regexp_split_to_array(text, '[^0-9A-Za-z\x{80}-\x{10FFFF}]+')) - 1))) AS half FROM i
 ), n AS (SELECT count(*) AS n, avg(len(words)) AS mean FROM iw WHERE len(words) > 0),
-df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+tf AS (
+  SELECT item_id, term, count(*) AS tf, any_value(size) AS size, any_value(half) AS half FROM (SELECT item_id, half, unnest(words) AS term, len(words) AS size FROM iw) GROUP BY item_id, term
+), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 part AS (
-  SELECT item_id, term, ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean)) AS part FROM tf JOIN df USING (term), n
+  SELECT item_id, half, term, ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * size / mean)) AS part FROM tf JOIN df USING (term), n
 ), weight AS (
-  SELECT item_id, term, part / sum(part) OVER (PARTITION BY item_id) AS weight FROM part
+  SELECT item_id, half, term, CAST(round(part / sum(part) OVER (PARTITION BY item_id) * 1e12) AS BIGINT) AS weight FROM part
 ), cut AS (
   SELECT item_id, raw, coalesce(list_max(list_filter(range(1, len(raw)), lambda k: regexp_matches(raw[k], '[.!?]$'))), CAST(ceil(2 * len(raw) / 3.0) AS BIGINT)) AS cut FROM iw
 ), qa AS (
@@ -369,13 +364,13 @@ part AS (
 ), p AS (
   SELECT doc_id, unnest(words) AS term, unnest(range(0, len(words))) AS pos FROM d
 ), step AS (
-  SELECT doc_id, term, CAST(floor(pos / half) AS BIGINT) AS s FROM p, half WHERE term IN (SELECT term FROM df)
+  SELECT doc_id, half, term, CAST(floor(pos / half) AS BIGINT) AS s FROM p, (SELECT DISTINCT half FROM iw) WHERE term IN (SELECT term FROM df)
 ), pas AS (
-  SELECT DISTINCT doc_id, s, term FROM (SELECT * FROM step UNION ALL SELECT doc_id, term, s - 1 FROM step WHERE s > 0)
+  SELECT DISTINCT doc_id, half, s, term FROM (SELECT * FROM step UNION ALL SELECT doc_id, half, term, s - 1 FROM step WHERE s > 0)
 ), hit AS (
-  SELECT doc_id, s, item_id, sum(weight) AS score FROM pas JOIN weight USING (term) GROUP BY doc_id, s, item_id HAVING sum(weight) >= 0.5 - 1e-9
+  SELECT doc_id, half, s, item_id, CAST(sum(weight) AS BIGINT) AS score FROM pas JOIN weight USING (term, half) GROUP BY doc_id, half, s, item_id HAVING sum(weight) >= 499999999000
 ), body AS (
-  SELECT hit.*, words[s * half + 1:s * half + 2 * half] AS words, s * half AS first_word FROM hit JOIN d USING (doc_id), half
+  SELECT hit.*, words[s * half + 1:s * half + 2 * half] AS words, s * half AS first_word FROM hit JOIN d USING (doc_id)
 ), share AS (
   SELECT doc_id, s, first_word, body.item_id, score, kind,
          avg(CASE WHEN list_contains(list_transform(range(1, len(body.words) - k + 2), lambda x: array_to_string(body.words[x:x + k - 1], ' ')), gram) THEN 1.0 ELSE 0.0 END) AS overlap
@@ -385,5 +380,5 @@ part AS (
 ), ok AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY score DESC, q DESC, a DESC, first_word) AS k FROM both_ WHERE least(q, a) >= 0.5 - 1e-9
 )
-SELECT doc_id, item_id, round(score, 4) AS score, round(q, 4) AS question_overlap, round(a, 4) AS answer_overlap, CAST(first_word AS BIGINT) AS first_word FROM ok WHERE k = 1
+SELECT doc_id, item_id, round(score / 1e12, 4) AS score, round(q, 4) AS question_overlap, round(a, 4) AS answer_overlap, CAST(first_word AS BIGINT) AS first_word FROM ok WHERE k = 1
 """

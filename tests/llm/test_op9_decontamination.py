@@ -49,19 +49,39 @@ def test_search_equals_exhaustive_scoring():
     for u in uid:
         terms = rng.choice(n_terms, rng.integers(3, 15), replace=False)
         w = rng.random(len(terms)) ** 3
-        postings += [(int(u), int(t), float(x)) for t, x in zip(terms, w / w.sum(), strict=True)]
+        postings += [(int(u), int(t), round(x * op.UNIT)) for t, x in zip(terms, w / w.sum(), strict=True)]
     index = op.Index([(int(u), int(u), "a b. c") for u in uid], postings, 64)
+    assert index.ids == uid.tolist()
     for threshold in (0.2, 0.5, 0.8):
-        for _ in range(60):
+        least, passage, term, scores = round(threshold * op.UNIT), [], [], np.zeros((60, n_items))
+        for p in range(60):
             asked = rng.choice(n_terms, rng.integers(1, 60), replace=False)
-            scores = np.zeros(n_items)
             for u, t, w in postings:
                 if t in asked:
-                    scores[u] += w
+                    scores[p, u] += w
             known = np.flatnonzero(np.isin(index.terms, asked.astype(np.uint64)))
-            found = dict(index.search(known.tolist(), threshold))
-            assert set(found) == set(np.flatnonzero(scores >= threshold - 1e-9).tolist())
-            assert all(abs(found[u] - scores[u]) < 1e-9 for u in found)
+            passage, term = passage + [p] * len(known), term + known.tolist()
+        for cells in (1, 500, op.CELLS):  # few cells at once: many rounds
+            index_cells, op.CELLS = op.CELLS, cells
+            found = {(p, u): s for part in index.search(np.array(passage), np.array(term), least) for p, u, s in zip(*(x.tolist() for x in part), strict=True)}
+            op.CELLS = index_cells
+            assert found == {(int(p), int(u)): scores[p, u] for p, u in zip(*np.nonzero(scores >= least), strict=True)}
+
+
+def test_item_in_two_passages_is_reported_with_the_first(spark):
+    asked = [(i, f"{prose(600 + i, 20, 3000)}. {prose(640 + i, 9, 3000)}.") for i in range(40)]
+    docs = [(i, f"{prose(i, 64 + 65, 3000)} {t} {prose(i + 90, 200, 3000)}") for i, t in asked]
+    runs = [sorted(tuple(r) for r in op.contaminated(table(spark, docs, n), items(spark, asked)).collect()) for n in (1, 5)]
+    assert runs[0] == runs[1] and [(r[0], r[1], round(r[2], 9), r[5]) for r in runs[0]] == [(i, i, 1.0, 64) for i in range(40)]
+
+
+def test_a_long_item_leaves_the_passages_of_short_ones_alone(spark):
+    long = prose(3, 20_000, 5000)
+    docs = [(1, f"{prose(4, 100)} {long} {prose(5, 100)}"), (2, " ".join(long.split()[:6000])), (3, documents()[81][1])]
+    alone = op.contaminated(table(spark, docs), items(spark, ITEMS)).collect()
+    both = op.contaminated(table(spark, docs), items(spark, [*ITEMS, (90, f"{long}.")])).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in alone} == {(3, 1)}
+    assert {(r["doc_id"], r["item_id"]): r["first_word"] for r in both} == {(3, 1): alone[0]["first_word"], (1, 90): 0}
 
 
 def test_split_of_items():
