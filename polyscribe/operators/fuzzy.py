@@ -15,7 +15,8 @@ from polyscribe.functions import tokens as T
 from polyscribe.functions import unicode as U
 from polyscribe.functions.similarity import EDIT_RULES, weighted_distance
 from polyscribe.operators.dehyphenate import text_tokens
-from polyscribe.operators.lookup import ascii_or, lower_word, sized
+from polyscribe.operators.lookup import lower_word, sized
+from polyscribe.runtime import materialise
 
 DISTANCE, MOST_WEIGHT = 3, 9
 
@@ -34,7 +35,9 @@ def _pieces(word, count: int):
 
 def fuzzy_pairs(words: DataFrame, entries: DataFrame, distance: int = DISTANCE, word: str = "word", entry: str = "entry") -> DataFrame:
     """(word, entry, distance): distinct words and entries within an edit distance, equal ones included."""
-    left, right = words.select(F.col(word).alias("word")).filter("word IS NOT NULL").distinct(), entries.select(F.col(entry).alias("entry")).filter("entry IS NOT NULL").distinct()
+    # so many tasks whatever the words' bytes, as each word makes many probes
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = words.select(F.col(word).alias("word")).filter("word IS NOT NULL").repartition(tasks, "word").distinct(), entries.select(F.col(entry).alias("entry")).filter("entry IS NOT NULL").distinct()
     count = distance + 1
     size = F.char_length("entry")
     long = right.filter(size >= count).select("entry", size.alias("_n"), F.explode(_pieces(F.col("entry"), count)).alias("_p")).select("entry", "_n", F.col("_p.i").alias("_i"), F.col("_p.piece").alias("_piece"))
@@ -78,7 +81,7 @@ def best_candidates(weighted: DataFrame, keep: int = 1) -> DataFrame:
 
 def candidate_vocabulary(texts: DataFrame, text_col: str = "text", greek: bool = True, cap: int | None = None) -> DataFrame:
     """(word): the distinct cores worth correcting: of the script, not all capitals, not cut by a hyphen, not one character."""
-    raw = texts.select(F.explode(text_tokens(F.col(text_col))).alias("_token")).distinct()
+    raw = materialise(texts.select(F.explode(text_tokens(F.col(text_col))).alias("_token")).distinct(), "raw-words")
     cores = raw.select(F.rtrim(T.token_core("_token")).alias("word")).distinct()
     kept = cores.filter(~C.is_uc_word("word") & (F.char_length("word") > 1) & ~F.col("word").endswith("-"))
     return kept.filter(C.is_greek_string("word", cap)) if greek else kept

@@ -25,7 +25,7 @@ from polyscribe.plans import apply as A
 from polyscribe.plans import cascade as K
 from polyscribe.plans import metadata as M
 from polyscribe.plans import reports as P
-from polyscribe.runtime import ship
+from polyscribe.runtime import materialise, ship
 from polyscribe.sources import hocr as H
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,11 +107,11 @@ _B = _tokens("benchmark", "item_id", "b")
 _V = f"""{_W},
 raw AS (SELECT text, count(*) AS c FROM w GROUP BY text),
 keyed AS (SELECT text, c, {_fold(_core("text"))} AS k FROM raw),
-v AS (SELECT CASE WHEN k <> '' THEN k ELSE text END AS word, CAST(sum(c) AS BIGINT) AS n FROM keyed GROUP BY 1)"""
+v AS MATERIALIZED (SELECT CASE WHEN k <> '' THEN k ELSE text END AS word, CAST(sum(c) AS BIGINT) AS n FROM keyed GROUP BY 1)"""
 _X = f"""{_B},
 lex AS (SELECT DISTINCT {_fold(_low(_core("text")))} AS word FROM b),
-lexicon AS (SELECT word FROM lex WHERE word <> ''),
-idx AS (SELECT strip_accents(word) AS bare, max(word) AS word FROM lexicon GROUP BY 1)"""
+lexicon AS MATERIALIZED (SELECT word FROM lex WHERE word <> ''),
+idx AS MATERIALIZED (SELECT strip_accents(word) AS bare, max(word) AS word FROM lexicon GROUP BY 1)"""
 _IN = "IN (SELECT word FROM lexicon)"
 
 
@@ -265,7 +265,7 @@ def _subs(src: str) -> str:
     return f"""
 sp AS (SELECT word, unnest(range(1, len(word) + 1)) AS i FROM {src} WHERE len(word) > 1),
 sc AS (SELECT word, o, i, f, t, left(word, i - 1) || t || substr(word, i + 1) AS x FROM sp JOIN rules ON substr(word, i, 1) = f),
-sh AS (SELECT sc.*, idx.word AS bare, CASE WHEN x {_IN} THEN 0 WHEN {_key('x')} {_IN} THEN 1 WHEN idx.word IS NOT NULL AND (len(x) > 4 OR (upper(left(sc.word, 1)) = left(sc.word, 1) AND lower(left(sc.word, 1)) <> left(sc.word, 1))) THEN 2 END AS r FROM sc LEFT JOIN idx ON strip_accents(x) = idx.bare),
+sh AS MATERIALIZED (SELECT sc.*, idx.word AS bare, CASE WHEN x {_IN} THEN 0 WHEN {_key('x')} {_IN} THEN 1 WHEN idx.word IS NOT NULL AND (len(x) > 4 OR (upper(left(sc.word, 1)) = left(sc.word, 1) AND lower(left(sc.word, 1)) <> left(sc.word, 1))) THEN 2 END AS r FROM sc LEFT JOIN idx ON strip_accents(x) = idx.bare),
 sub AS (SELECT word, (['Sub ', 'SubLower ', 'SubNoAcc '])[r + 1] || f || '->' || t AS mode, CASE WHEN r = 2 THEN bare ELSE x END AS output, row_number() OVER (PARTITION BY word ORDER BY o DESC, i, r) AS k FROM sh WHERE r IS NOT NULL)"""
 
 
@@ -280,14 +280,14 @@ _ENCLITIC = " OR ".join(f"(right(word, {len(s)}) = '{s}' AND (left(word, len(wor
 # The driver's words hold no final sigma, so the stage that cuts words after one has no rows here; tests cover it.
 _CASCADE = f"""{_V}, {_X}, {_RULES},
 m AS (SELECT *, regexp_matches(word, '{_MARKED}') AS marked, regexp_extract(word, '{_MARKED}', 1) AS a, regexp_extract(word, '{_MARKED}', 2) AS mk, regexp_extract(word, '{_MARKED}', 3) AS z FROM v),
-s1 AS (SELECT m.word, n, a, mk, z, idx.word AS bare, CASE WHEN m.word {_IN} THEN 'True' WHEN {_key('m.word')} {_IN} THEN 'TrueLower' WHEN idx.word IS NOT NULL THEN 'NoAcc'
+s1 AS MATERIALIZED (SELECT m.word, n, a, mk, z, idx.word AS bare, CASE WHEN m.word {_IN} THEN 'True' WHEN {_key('m.word')} {_IN} THEN 'TrueLower' WHEN idx.word IS NOT NULL THEN 'NoAcc'
   WHEN marked AND (a || z {_IN} OR {_key('(a || z)')} {_IN}) THEN 'PunctStrip' WHEN marked AND a {_IN} AND z {_IN} THEN 'SplitOnPunct'
   WHEN regexp_matches(m.word, '{_NUMERAL}') OR regexp_matches(translate(m.word, 'ʹ', '′'), '{T.GREEK_NUMERAL}') THEN 'Numerical' ELSE 'False' END AS mode FROM m LEFT JOIN idx ON strip_accents(m.word) = idx.bare),
-s2 AS (SELECT word, n, mode AS old, CASE WHEN {_ENCLITIC} THEN 'True' ELSE mode END AS mode, CASE mode WHEN 'NoAcc' THEN bare WHEN 'PunctStrip' THEN a || z WHEN 'SplitOnPunct' THEN a || mk || ' ' || z
+s2 AS MATERIALIZED (SELECT word, n, mode AS old, CASE WHEN {_ENCLITIC} THEN 'True' ELSE mode END AS mode, CASE mode WHEN 'NoAcc' THEN bare WHEN 'PunctStrip' THEN a || z WHEN 'SplitOnPunct' THEN a || mk || ' ' || z
   WHEN 'Numerical' THEN CASE WHEN regexp_matches(word, '{_NUMERAL}') THEN regexp_extract(word, '{_NUMERAL}', 1) || replace(regexp_extract(word, '{_NUMERAL}', 2), 'I', '1') || regexp_extract(word, '{_NUMERAL}', 3) ELSE translate(word, 'ʹ', '′') END ELSE '' END AS output FROM s1),
-op AS (SELECT word FROM s2 WHERE mode = 'False'),{_subs("op")},
+op AS MATERIALIZED (SELECT word FROM s2 WHERE mode = 'False'),{_subs("op")},
 dq AS (SELECT word, {_squeezed('word')} AS x FROM op),
-dd AS (SELECT dq.word, CASE WHEN x {_IN} THEN 'Dedup' WHEN {_key('x')} {_IN} THEN 'DedupLower' WHEN idx.word IS NOT NULL THEN 'DedupNoAcc' END AS mode, CASE WHEN x {_IN} OR {_key('x')} {_IN} THEN x ELSE idx.word END AS output FROM dq LEFT JOIN idx ON strip_accents(x) = idx.bare),
+dd AS MATERIALIZED (SELECT dq.word, CASE WHEN x {_IN} THEN 'Dedup' WHEN {_key('x')} {_IN} THEN 'DedupLower' WHEN idx.word IS NOT NULL THEN 'DedupNoAcc' END AS mode, CASE WHEN x {_IN} OR {_key('x')} {_IN} THEN x ELSE idx.word END AS output FROM dq LEFT JOIN idx ON strip_accents(x) = idx.bare),
 {_HALVES.format(src="op")},
 done AS (SELECT s2.word, n, coalesce(sub.mode, dd.mode, CASE WHEN hh.word IS NOT NULL THEN 'True' END, s2.mode) AS mode, coalesce(sub.output, CASE WHEN dd.mode IS NOT NULL THEN dd.output END, hh.a || ' ' || hh.b, s2.output) AS output
   FROM s2 LEFT JOIN sub ON s2.word = sub.word AND sub.k = 1 LEFT JOIN dd ON s2.word = dd.word AND dd.mode IS NOT NULL LEFT JOIN hh ON s2.word = hh.word AND hh.k = 1)"""
@@ -336,7 +336,7 @@ _PLAIN = f"{_W}, {_B}, fw AS (SELECT DISTINCT lower(text) AS word FROM w WHERE r
 
 def _cores(words: DataFrame) -> DataFrame:
     """(word): the distinct lower-cased cores, of every length and script."""
-    raw = words.select("text").distinct()
+    raw = materialise(words.select("text").distinct(), "raw-words")
     return raw.select(J.lower_word(T.token_core("text")).alias("word")).filter("word != ''").distinct()
 
 
@@ -513,7 +513,7 @@ mw AS (SELECT page_id, text, CASE WHEN text {_IN} THEN 'True' WHEN {_key('text')
 
 def _moded(spark, d) -> DataFrame:
     lexicon = _lexicon(spark, d)
-    words = J.in_lexicon(J.in_lexicon(_words(spark, d), lexicon, F.col("text"), "_e"), lexicon, T.lower_key("text"), "_l")
+    words = J.by_distinct(_words(spark, d), "text", lambda v: J.in_lexicon(J.in_lexicon(v, lexicon, F.col("value"), "_e"), lexicon, T.lower_key("value"), "_l"))
     quality = J.sized(_table(spark, d, "labels").groupBy(F.col("doc_id").alias("page_id")).agg(F.max("quality").alias("_q")))
     mode = F.when(F.col("_e"), "True").when(F.col("_l"), "TrueLower").otherwise("None")
     return words.join(quality, "page_id", "left").select("page_id", "text", F.lit("ocr_word").alias("class"), mode.alias("spellcheck_mode"), F.when(F.col("_q") == 1, "true").otherwise("false").alias("manually_confirmed"))

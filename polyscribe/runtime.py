@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import time
 import uuid
@@ -12,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_scratch: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
@@ -29,18 +31,37 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or on a local master one of our own where it is unset."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that the driver and all executors share (master {master})")
         path = f"file://{tempfile.mkdtemp(prefix='polyscribe-shared-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one; what is left in it goes when the driver ends."""
+    root = f"{shared_dir(spark)}/polyscribe/{spark.sparkContext.applicationId}"
+    if root not in _scratch:
+        at, files = _file_system(spark, root)
+        files.mkdirs(at)
+        files.deleteOnExit(at)
+        _scratch.add(root)
+    return root
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends in files that outlive executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/polyscribe/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._polyscribe_path = path
@@ -52,9 +73,8 @@ def discard(*frames: DataFrame) -> None:
     for df in frames:
         path = getattr(df, "_polyscribe_path", None)
         if path:
-            spark = df.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+            at, files = _file_system(df.sparkSession, path)
+            files.delete(at, True)
 
 
 def forget_shuffles(spark: SparkSession) -> None:

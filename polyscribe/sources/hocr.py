@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from polyscribe.functions import geometry as G
@@ -89,14 +89,71 @@ class _Pages(HTMLParser):
         self.stack = []
 
 
-def parse_page(markup: str, strict: bool = False) -> tuple[list[dict], str | None]:
-    """(words, error): the words of one page's markup; strict: none, and why, if it is not well-formed XML."""
-    if strict:
-        import xml.etree.ElementTree as ET
+def _well_formed(markup: str) -> tuple[list[dict], str | None]:
+    """The words of well-formed XML by a parser in C; raises ExpatError for anything else."""
+    from xml.parsers import expat
+
+    words: list[dict] = []
+    depth, line, line_title, page_title = 0, -1, None, None
+    lines: list[int] = []  # depths of the open lines
+    number: dict = {}
+    word, word_depth, text = None, 0, []
+
+    def start(_tag, a):
+        nonlocal depth, line, line_title, page_title, word, word_depth
+        depth += 1
+        kind = a.get("class")
+        if kind is None:
+            return
+        kind = kind.split()
+        if PAGE_CLASS in kind and page_title is None:
+            page_title = a.get("title")
+        elif LINE_CLASS in kind:
+            line, line_title = line + 1, a.get("title")
+            lines.append(depth)
+        elif word is None and (name := next((c for c in kind if c in WORD_CLASSES), None)):
+            here = line if lines else None
+            k = number[here] = number.get(here, -1) + 1
+            word, word_depth = {"line_no": here, "line_title": line_title if lines else None, "word_no": k, "class": name, "id": a.get("id"), "title": a.get("title")}, depth
+            for field, attribute in ATTRIBUTES.items():
+                if attribute in a:
+                    word[field] = a[attribute]
+
+    def end(_tag):
+        nonlocal depth, word
+        if word is not None and depth == word_depth:
+            word["text"] = "".join(text) if text else None
+            words.append(word)
+            word = None
+            text.clear()
+        elif lines and depth == lines[-1]:
+            lines.pop()
+        depth -= 1
+
+    def data(x):
+        if word is not None:
+            text.append(x)
+
+    parser = expat.ParserCreate("utf-8")
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, data
+    parser.Parse(markup.encode("utf-8", "replace"), True)
+    return words, page_title
 
-        try:
-            ET.fromstring(markup.encode())
-        except ET.ParseError as e:
+
+def parse_page(markup: str, strict: bool = False) -> tuple[list[dict], str | None]:
+    """(words, error): the words of one page's markup; strict: none, and why, if it is not well-formed XML.
+
+    Well-formed pages are read as XML; the lenient parser takes the others, and those without words when read so.
+    """
+    from xml.parsers.expat import ExpatError
+
+    try:
+        words, page_title = _well_formed(markup)
+        if words or strict:
+            return [w | {"page_title": page_title} for w in words], None
+    except ExpatError as e:
+        if strict:
             return [], str(e)
     parser = _Pages()
     parser.feed(markup)
@@ -125,7 +182,11 @@ def parse_words(pages: DataFrame, strict: bool = False, id_col: str = "page_id",
         for batch in batches:
             for page, markup in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words, error = parse_page(markup or "", strict)
-                yield pa.RecordBatch.from_pylist([w | {"page_id": page} for w in words] or [{"page_id": page, "error": error}], schema)
+                columns = [pa.array([w.get(f.name) for w in words] or [None], f.type) for f in schema]
+                columns[schema.get_field_index("page_id")] = pa.array([page] * max(1, len(words)), pa.string())
+                if error:
+                    columns[schema.get_field_index("error")] = pa.array([error], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     flat = pages.select(F.col(id_col).cast("string"), F.col(markup_col).cast("string")).mapInArrow(parse, SCHEMA)
     return flat.withColumns({"hyphen_position": F.col("hyphen_position").try_cast("int"), "bbox": G.title_bbox("title"), "line_bbox": G.title_bbox("line_title"), "page_bbox": G.title_bbox("page_title"), "confs": G.confidences("title")})
@@ -140,32 +201,44 @@ def word_counts(words: DataFrame) -> DataFrame:
     return words.groupBy("page_id").agg(F.count("word_no").alias("n_words"))
 
 
-def render_pages(words: DataFrame) -> DataFrame:
-    """(page_id, markup): one document a page from its word rows, in reading order; a page's words are gathered, nothing larger."""
-    columns = ["line_no", "word_no", "class", "id", "text", "title", "line_title", *ATTRIBUTES]
-    have = [F.col(c).cast("string").alias(c) if c in ATTRIBUTES and c in words.columns else F.col(c) if c in words.columns else F.lit(None).cast("string").alias(c) for c in columns]
-    title = F.max("page_title") if "page_title" in words.columns else F.lit(None).cast("string")
-    pages = words.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct(*have))).alias("rows"), title.alias("page_title"))
-
-    def render(batches):
-        for batch in batches:
-            made = [{"page_id": x["page_id"], "markup": _markup(x["rows"], x["page_title"])} for x in batch.to_pylist()]
-            yield pa.RecordBatch.from_pylist(made, pa.schema([("page_id", pa.string()), ("markup", pa.string())]))
-
-    return pages.select(F.col("page_id").cast("string"), "rows", F.col("page_title").cast("string")).mapInArrow(render, "page_id string, markup string")
-
-
-def _markup(rows, heading) -> str:
-    quoted = lambda name, value: "" if value is None else f' {name}="{escape(str(value), quote=True)}"'
-    lines: dict = {}
-    for r in rows:
-        if r["word_no"] is not None:
-            lines.setdefault(r["line_no"], []).append(r)
-    body = []
-    for words in lines.values():
-        spans = [f"<span{quoted('class', w['class'] or 'ocr_word')}{quoted('id', w['id'])}{quoted('title', w['title'])}{''.join(quoted(a, w[n]) for n, a in ATTRIBUTES.items())}>{escape(w['text'] or '', quote=False)}</span>" for w in words]
-        body.append(f'<span class="{LINE_CLASS}"{quoted("title", words[0]["line_title"])}>{" ".join(spans)}</span>')
-    return '<?xml version="1.0" encoding="utf-8"?>\n<!DOCTYPE html>\n<html xmlns="http://www.w3.org/1999/xhtml"><head><title/></head><body>' + f'<div class="{PAGE_CLASS}"{quoted("title", heading)}>' + "\n".join(body) + "</div></body></html>\n"
+def _quoted(name: str, value: Column) -> Column:
+    """An attribute, or nothing for null."""
+    return F.coalesce(F.concat(F.lit(f' {name}="'), _escaped(value.cast("string"), True), F.lit('"')), F.lit(""))
+
+
+def _escaped(x: Column, quotes: bool = False) -> Column:
+    for plain, entity in [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), *([('"', "&quot;"), ("'", "&#x27;")] if quotes else [])]:
+        x = F.replace(x, F.lit(plain), F.lit(entity))
+    return x
+
+
+def meta_tags(values: dict[str, Column | str]) -> Column:
+    """``meta`` elements of a page's head, of names (Dublin Core's, say) and values; null values are left out."""
+    tags = [F.concat(F.lit(f'<meta name="{escape(name, quote=True)}"'), _quoted("content", F.lit(v) if isinstance(v, str) else v), F.lit("/>")) for name, v in values.items()]
+    return F.concat(*[F.when(tag.contains(' content="'), tag).otherwise("") for tag in tags]) if tags else F.lit("")
+
+
+def render_pages(words: DataFrame, head: Column | None = None) -> DataFrame:
+    """(page_id, markup): one document a page from its word rows; a page's words are gathered, nothing larger.
+
+    Lines stand in the order of ``reading_no`` if the words have it, else of ``line_no``. ``head`` is an expression of page_id
+    for what the page's head holds (see ``meta_tags``). All of it is built by Spark's own functions.
+    """
+    value = lambda c: F.col(c).cast("string") if c in words.columns else F.lit(None).cast("string")
+    attributes = [_quoted("class", F.coalesce(value("class"), F.lit("ocr_word"))), _quoted("id", value("id")), _quoted("title", value("title")), *(_quoted(a, value(n)) for n, a in ATTRIBUTES.items())]
+    span = F.concat(F.lit("<span"), *attributes, F.lit(">"), F.coalesce(_escaped(value("text")), F.lit("")), F.lit("</span>"))
+    place = F.coalesce(F.col("reading_no"), F.col("line_no")) if "reading_no" in words.columns else F.col("line_no")
+    rows = words.select("page_id", place.alias("_place"), "line_no", "word_no", span.alias("_span"), value("line_title").alias("_line_title"), value("page_title").alias("_page_title"))
+    line = F.array_sort(F.collect_list(F.when(F.col("word_no").isNotNull(), F.struct("word_no", "_span", "_line_title"))))
+    lines = rows.groupBy("page_id", "_place", "line_no").agg(line.alias("_w"), F.max("_page_title").alias("_page_title"))
+    text = F.concat(F.lit(f'<span class="{LINE_CLASS}"'), _quoted("title", F.get("_w", F.lit(0))["_line_title"]), F.lit(">"), F.array_join(F.col("_w._span"), " "), F.lit("</span>"))
+    lines = lines.select("page_id", "_page_title", F.when(F.size("_w") > 0, F.struct("_place", "line_no", text.alias("text"))).alias("_l"))
+    pages = lines.groupBy("page_id").agg(F.array_sort(F.collect_list("_l")).alias("_ls"), F.max("_page_title").alias("_page_title"))
+    markup = F.concat(
+        F.lit('<?xml version="1.0" encoding="utf-8"?>\n<!DOCTYPE html>\n<html xmlns="http://www.w3.org/1999/xhtml"><head><title/>'), head if head is not None else F.lit(""), F.lit("</head><body>"),
+        F.lit(f'<div class="{PAGE_CLASS}"'), _quoted("title", F.col("_page_title")), F.lit(">"), F.array_join(F.col("_ls.text"), "\n"), F.lit("</div></body></html>\n"),
+    )
+    return pages.select(F.col("page_id").cast("string").alias("page_id"), markup.alias("markup"))
 
 
 def write_hocr(words: DataFrame, path: str) -> None:
