@@ -17,9 +17,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyscribe.runtime import discard, forget_shuffles, materialise, shared_dir, ship
+from polyscribe.runtime import discard, forget_shuffles, materialise, scratch_dir, ship
 
-__all__ = ["discard", "forget_shuffles", "materialise", "shared_dir", "ship"]
+__all__ = ["discard", "forget_shuffles", "materialise", "scratch_dir", "ship"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 NULL_ID = -(2**63)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyscribe.llm.common import discard, materialise, shared_dir, table
+from polyscribe.llm.common import discard, materialise, scratch_dir, table
 
 LEAST = 1000
 _CRLF = "\r\n"
@@ -154,7 +154,7 @@ def restore(records: DataFrame) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     decisions = materialise(decide(pages), "warc-decisions")
-    path = f"{shared_dir(spark)}/polyscribe/warc-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(pages, decisions, path)
     records = materialise(read_warc(spark, path), "warc-records")
     discard(decisions)
