@@ -37,7 +37,7 @@ def fuzzy_pairs(words: DataFrame, entries: DataFrame, distance: int = DISTANCE,
     """(word, entry, distance): distinct words and entries within an edit distance, equal ones included."""
     # so many tasks whatever the words' bytes, as each word makes many probes
     tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left, right = words.select(F.col(word).alias("word")).filter("word IS NOT NULL").repartition(tasks, "word").distinct(), entries.select(F.col(entry).alias("entry")).filter("entry IS NOT NULL").distinct()
+    left, right = words.select(F.col(word).alias("word")).filter("word IS NOT NULL").distinct().repartition(tasks, "word"), entries.select(F.col(entry).alias("entry")).filter("entry IS NOT NULL").distinct()
     count = distance + 1
     size = F.char_length("entry")
     long = right.filter(size >= count).select("entry", size.alias("_n"), F.explode(_pieces(F.col("entry"), count)).alias("_p")).select("entry", "_n", F.col("_p.i").alias("_i"), F.col("_p.piece").alias("_piece"))
