@@ -30,6 +30,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shards_for(total: float, each: float) -> int:
     """How many shards keep about ``each`` items in one (8 at least, so that small inputs use the cores too)."""
     return int(max(8, min(1_000_000, -(-total // each))))

@@ -4,8 +4,10 @@ Lines within ``edits`` code-point edits of each other are linked. A line of leng
 segments; a longer or equal line probes, for every length from its own down to edits less, the substrings that
 a segment can have moved to (the multi-match-aware windows). By the pigeonhole principle each linked pair
 shares a key of (length, segment number, segment). Keys travel as packed shards; lines that meet are
-confirmed with a banded bit-parallel edit distance inside tasks of bounded size, which
+confirmed with a banded bit-parallel edit distance, many pairs at a time, inside tasks of bounded size, which
 return a spanning forest, so that groups of copies never become pairs of rows. Classes are the links' connected components.
+Different lines that share a segment, as those of a template do, are cut into chunks whose pairs are tasks of their own;
+most of their pairs end at a comparison of letter counts. A line is known by 128 bits of its text.
 
 Of each class the first line (smallest doc_id, then line number) stays and the others go. Lines of fewer than
 ``min_chars`` code points are left alone, or with ``short`` take part with edits scaled to their length: the shorter line
@@ -19,18 +21,20 @@ stands between line feeds, byte for byte. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyscribe.llm.common import NULL_ID, discard, materialise, pack, shards_for, table, unpack
+from polyscribe.llm.common import NULL_ID, discard, materialise, pack, shards_for, table, unpack, unused
 from polyscribe.llm.components import components
 
 EDITS, MIN_CHARS = 2, 25
-CHUNK = 128
+#: Lines under one key that make one task; a larger group is cut into chunks whose pairs are tasks of their own.
+GROUP, CHUNK = 128, 2048
+#: Lines of up to so many code points are compared many at a time.
+WIDEST = 512
+_BASE_2 = 0x2545F4914F6CDD1D
 #: Line hashes wanted are sent to every executor only if counted to be at most this many; else rows meet in a join.
 BROADCAST_LINES = 1_000_000
 
@@ -39,8 +43,8 @@ class Lines:
     """The lines of some texts as spans of code points."""
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray):
-        from polyscribe.llm.kernels import mix, powers
         from polyscribe.llm.kernels import _BASE as base
+        from polyscribe.llm.kernels import mix
 
         self.points = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
         lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
@@ -60,18 +64,34 @@ class Lines:
         self.number = np.arange(len(self.doc)) - np.repeat(lead_at, np.diff(np.append(lead_at, len(self.doc))))
         ink = np.concatenate([[0], np.cumsum((self.points != 32) & ((self.points < 9) | (self.points > 13)))])
         self.blank = ink[self.stops] == ink[self.starts]
-        self.prefix = np.zeros(len(self.points) + 1, np.uint64)
-        np.cumsum(mix(self.points.astype(np.uint64) + np.uint64(1)) * powers(base, len(self.points)), out=self.prefix[1:])
+        self.values = mix(self.points.astype(np.uint64) + np.uint64(1))
+        self.prefix = self._prefix(base)
 
-    def span(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-        from polyscribe.llm.kernels import _INVERSE, mix, powers
+    def _prefix(self, base: int) -> np.ndarray:
+        from polyscribe.llm.kernels import powers
+
+        out = np.zeros(len(self.points) + 1, np.uint64)
+        np.cumsum(self.values * powers(base, len(self.points)), out=out[1:])
+        return out
 
-        h = (self.prefix[stops] - self.prefix[starts]) * powers(_INVERSE, len(self.prefix))[starts]
+    def _span(self, prefix: np.ndarray, inverse: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        from polyscribe.llm.kernels import mix, powers
+
+        h = (prefix[stops] - prefix[starts]) * powers(inverse, len(prefix))[starts]
         return mix(h + (stops - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
+    def span(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        from polyscribe.llm.kernels import _INVERSE
+
+        return self._span(self.prefix, _INVERSE, starts, stops)
+
     def hashes(self) -> np.ndarray:
         return self.span(self.starts, self.stops)
 
+    def seconds(self, chosen: np.ndarray) -> np.ndarray:
+        """Second halves of the chosen lines' 128-bit identities, over another base."""
+        return self._span(self._prefix(_BASE_2), pow(_BASE_2, -1, 2**64), self.starts[chosen], self.stops[chosen])
+
 
 def segments(length: np.ndarray, count: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Start and length of each of ``count`` even segments of lines of these lengths, the longer ones last."""
@@ -167,8 +187,94 @@ def banded(a: list, b: list, k: int) -> int:
     return score
 
 
+def banded_many(points: np.ndarray, start: np.ndarray, length: np.ndarray, a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
+    """``banded`` for many pairs at once: their edit distances where at most k, else something over k.
+
+    ``points`` holds all lines one after the other; a and b are pairs of lines whose lengths differ by k at most.
+    """
+    longer = np.where(length[a] >= length[b], a, b)
+    a, b = longer, a + b - longer  # rows are the longer string
+    rows, columns = length[a], length[b]
+    wide = int(columns.max(initial=0))
+    at = np.arange(wide)
+    cell = lambda who, i: points[start[who][:, None] + np.clip(i, 0, np.maximum(length[who], 1)[:, None] - 1)]
+    other = cell(b, at[None, :])
+    match = np.zeros((len(a), wide), np.int64)
+    for d in range(2 * k + 1):
+        i = at[None, :] + d - k
+        match |= ((cell(a, i) == other) & (i >= 0) & (i < rows[:, None])).astype(np.int64) << d
+    top, mask = 2 * k, (1 << (2 * k + 1)) - 1
+    plus, minus = np.full(len(a), (mask << k) & mask), np.zeros(len(a), np.int64)
+    score, follow = np.full(len(a), k), np.full(len(a), 1 << top)
+    for j in range(wide):
+        m = match[:, j]
+        zero = ((((m & plus) + plus) ^ plus) | m | minus) & mask
+        up, down = (minus | ~(zero | plus)) & mask, zero & plus
+        live, inside = j < columns, j + k < rows
+        follow = np.where(live & ~inside, follow >> 1, follow)
+        step = np.where(inside, 1 - ((zero >> top) & 1), ((up & follow) != 0).astype(np.int64) - ((down & follow) != 0))
+        score = score + np.where(live, step, 0)
+        plus, minus = (down | ~((zero >> 1) | up)) & mask, (zero >> 1) & up
+    return score
+
+
+def forest(points: list[np.ndarray], a: np.ndarray, b: np.ndarray, edits: int, min_chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a spanning forest of the links among the pairs (a, b) of lines.
+
+    Pairs whose lengths or letter counts differ by more than the edits allow go first, many at a time; pairs that are
+    connected by now need no comparison; the others are compared in batches.
+    """
+    length = np.array([len(x) for x in points], np.int64)
+    start = np.concatenate([[0], np.cumsum(length)])[:-1]
+    flat = np.concatenate([*points, np.zeros(1, np.uint32)])
+    owner = np.repeat(np.arange(len(points)), length)
+    letters = np.bincount(owner * 16 + ((flat[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(60)).astype(np.int64), minlength=16 * len(points)).reshape(-1, 16).astype(np.int32)
+    root = np.arange(len(points))
+    kept_a, kept_b = [], []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for i in range(0, len(a), 65_536):
+        x, y = a[i : i + 65_536], b[i : i + 65_536]
+        allowed = np.minimum(edits, np.minimum(length[x], length[y]) * edits // min_chars)
+        # one edit changes at most two letter counts by one
+        near = (np.abs(length[x] - length[y]) <= allowed) & (np.abs(letters[x] - letters[y]).sum(1) <= 2 * allowed)
+        x, y, allowed = x[near], y[near], allowed[near]
+        done, batch = 0, 256
+        while done < len(x):
+            while len(root) and (root[root] != root).any():
+                root = root[root]
+            p, q, k = x[done : done + batch], y[done : done + batch], allowed[done : done + batch]
+            done, batch = done + batch, min(4 * batch, 16_384)
+            open_ = root[p] != root[q]
+            p, q, k = p[open_], q[open_], k[open_]
+            linked = np.zeros(len(p), bool)
+            most = np.maximum(length[p], length[q])
+            low = 0
+            for size in (64, 128, 256, WIDEST):
+                for e in range(edits + 1):
+                    some = np.flatnonzero((k == e) & (most > low) & (most <= size))
+                    for c in range(0, len(some), 2_000_000 // size):
+                        t = some[c : c + 2_000_000 // size]
+                        linked[t] = banded_many(flat, start, length, p[t], q[t], e) <= e
+                low = size
+            for t in np.flatnonzero(most > WIDEST):
+                linked[t] = within(points[p[t]], points[q[t]], int(k[t]))
+            for u, v in zip(p[linked].tolist(), q[linked].tolist(), strict=True):
+                m, n = find(u), find(v)
+                if m != n:
+                    root[max(m, n)] = min(m, n)
+                    kept_a.append(u)
+                    kept_b.append(v)
+    return np.array(kept_a, np.int64), np.array(kept_b, np.int64)
+
+
 def line_table(docs: DataFrame, id_col: str, text_col: str, min_chars: int, short: bool = False) -> DataFrame:
-    """doc_id, line (its number), h for every line that counts; null ids as the smallest long."""
+    """doc_id, line (its number), h and g (128 bits of its text) for every line that counts; null ids as the smallest long."""
     from polyscribe.llm.kernels import column_bytes, pieces
 
     def compute(batches):
@@ -177,14 +283,14 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, min_chars: int, shor
             ids = batch.column(0).fill_null(NULL_ID).to_numpy()
             for i, j in pieces(offsets, 1_000_000):
                 x = Lines(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                use = counted(x, min_chars, short)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i + x.doc[use]]), pa.array(x.number[use].astype(np.int32)), pa.array(x.hashes()[use].view(np.int64))], ["doc_id", "line", "h"])
+                use = np.flatnonzero(counted(x, min_chars, short))
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i + x.doc[use]]), pa.array(x.number[use].astype(np.int32)), pa.array(x.hashes()[use].view(np.int64)), pa.array(x.seconds(use).view(np.int64))], ["doc_id", "line", "h", "g"])
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(compute, "doc_id long, line int, h long")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(compute, "doc_id long, line int, h long, g long")
 
 
 def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines: int, short: bool = False) -> DataFrame:
-    """(task, left, right): lists of different line hashes to compare; right is empty where left meets itself."""
+    """Chunks of different line hashes that share a key: key, probe (or index entries), the chunk's number among n_index or n_probe, lines."""
     from polyscribe.llm.kernels import column_bytes, pieces
 
     entries = (edits + 1) * (edits + 1) * (edits + 2) / 2
@@ -218,7 +324,7 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
                             out[n].append(v)
                 yield pa.RecordBatch.from_pydict(out, part)
 
-    lists = pa.schema([("task", pa.int64()), ("left", pa.list_(pa.int64())), ("right", pa.list_(pa.int64()))])
+    parts = pa.schema([("key", pa.int64()), ("probe", pa.bool_()), ("at", pa.int32()), ("n_index", pa.int32()), ("n_probe", pa.int32()), ("lines", pa.list_(pa.int64()))])
 
     def meet(rows: pa.Table) -> pa.Table:
         keys = [unpack(x.as_py(), np.uint64, True) for x in rows["keys"]]
@@ -234,31 +340,47 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
         begin = np.flatnonzero(edge)
         count = np.diff(np.append(begin, len(keys)))
         indexed = np.add.reduceat(kind.astype(np.int64), begin) if len(begin) else count
-        tasks: dict[int, tuple[list, list]] = {}
+        out = {n: [] for n in parts.names}
         for g in np.flatnonzero((count > 1) & (indexed > 0)):
             member, is_index = line[begin[g] : begin[g] + count[g]].view(np.int64), kind[begin[g] : begin[g] + count[g]]
             inner, outer = member[is_index], member[~is_index]
-            ins = [inner[k : k + CHUNK].tolist() for k in range(0, len(inner), CHUNK)]
-            outs = [outer[k : k + CHUNK].tolist() for k in range(0, len(outer), CHUNK)]
-            if len(ins) == 1 and len(member) <= CHUNK:
-                both = [(ins[0], [])] if len(ins[0]) > 1 else []
-                both += [(ins[0], o) for o in outs]
-            else:
-                both = [(a, [] if i == j else b) for i, a in enumerate(ins) for j, b in enumerate(ins) if i < j or (i == j and len(a) > 1)] + [(a, o) for a in ins for o in outs]
-            for a, b in both:
-                if len(a) == len(b) == 1 and b < a:
-                    a, b = b, a
-                elif len(a) == 2 and not b:
-                    a, b = a[:1], a[1:]
-                tasks[int.from_bytes(hashlib.blake2b(repr((a, b)).encode(), digest_size=8).digest(), "little", signed=True)] = (a, b)
-        return pa.table([pa.array(list(tasks), pa.int64()), pa.array([x[0] for x in tasks.values()], pa.list_(pa.int64())), pa.array([x[1] for x in tasks.values()], pa.list_(pa.int64()))], schema=lists)
+            size = GROUP if len(member) <= GROUP else CHUNK
+            n_index, n_probe = -(-len(inner) // size), -(-len(outer) // size)
+            for probe, lines, n in ((False, inner, n_index), (True, outer, n_probe)):
+                for k in range(n):
+                    for name, v in zip(parts.names, (int(keys[begin[g]].view(np.int64)), probe, k, n_index, n_probe, lines[k * size : (k + 1) * size]), strict=True):
+                        out[name].append(v)
+        return pa.Table.from_pydict(out, schema=parts)
 
     sent = docs.select(F.col(text_col).cast("string")).mapInArrow(send, "shard int, keys binary, lines binary, kinds binary")
-    return sent.groupBy("shard").applyInArrow(meet, "task long, left array<long>, right array<long>").dropDuplicates(["task"])
+    return sent.groupBy("shard").applyInArrow(meet, "key long, probe boolean, at int, n_index int, n_probe int, lines array<long>")
+
+
+def pair_tasks(parts: DataFrame) -> DataFrame:
+    """(task, left, right) from chunks of lines: every chunk of index entries meets itself (right is empty), the other ones and every chunk of probes.
+
+    Chunks of one key meet by an explode and a shuffle, so however many lines share a key, no task holds more than two chunks.
+    """
+    at = F.col("at")
+    # index chunk i meets itself and, as the lower one, index chunks i + 1 ...: pairs (i, j); and probe chunk j: pairs (i, -1 - j)
+    mine = F.when(F.col("probe"), F.transform(F.sequence(F.lit(0), F.col("n_index") - 1), lambda i: F.struct(i.alias("a"), (-1 - at).alias("b")))).otherwise(
+        F.concat(
+            F.transform(F.sequence(F.lit(0), F.col("n_index") - 1), lambda i: F.struct(F.least(i, at).alias("a"), F.greatest(i, at).alias("b"))),
+            F.when(F.col("n_probe") > 0, F.transform(F.sequence(F.lit(0), F.col("n_probe") - 1), lambda j: F.struct(at.alias("a"), (-1 - j).alias("b")))).otherwise(F.array().cast("array<struct<a:int,b:int>>")),
+        )
+    )
+    single = (F.col("n_index") == 1) & (F.col("n_probe") == 0)
+    none = F.array().cast("array<long>")
+    alone = parts.filter(single).select(F.col("lines").alias("left"), none.alias("right"))
+    spread = parts.filter(~single).select("key", "probe", "at", "lines", F.explode(mine).alias("_p")).select("key", "_p.a", "_p.b", "lines", (F.col("probe") | (F.col("at") != F.col("_p.a"))).alias("_right"))
+    met = spread.groupBy("key", "a", "b").agg(F.first(F.when(~F.col("_right"), F.col("lines")), True).alias("left"), F.first(F.when(F.col("_right"), F.col("lines")), True).alias("right"))
+    both = alone.unionAll(met.select("left", F.coalesce("right", none))).filter((F.size("left") > 1) | (F.size("right") > 0))
+    # keys with the same lines ask the same
+    return both.withColumns({"task": F.xxhash64("left", "right"), "_t": F.xxhash64(F.lit(1), "right", "left")}).dropDuplicates(["task", "_t"]).drop("_t")
 
 
 def line_texts(docs: DataFrame, need: DataFrame, text_col: str, min_chars: int, short: bool = False) -> DataFrame:
-    """(h, points): the code points of each wanted line once."""
+    """(h, g, points): the code points of each wanted line once."""
     from polyscribe.llm.kernels import column_bytes, pieces
 
     spark = docs.sparkSession
@@ -278,48 +400,62 @@ def line_texts(docs: DataFrame, need: DataFrame, text_col: str, min_chars: int,
                     at = np.minimum(np.searchsorted(wanted.value, h), max(len(wanted.value) - 1, 0))
                     hit = wanted.value[at] == h if len(wanted.value) else np.zeros(len(h), bool)
                     h, use = h[hit], use[hit]
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array([x.points[a:b].tobytes() for a, b in zip(x.starts[use], x.stops[use], strict=True)], pa.binary())], ["h", "points"])
+                if len(use):
+                    yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(x.seconds(use).view(np.int64)), pa.array([x.points[a:b].tobytes() for a, b in zip(x.starts[use], x.stops[use], strict=True)], pa.binary())], ["h", "g", "points"])
 
-    made = docs.select(F.col(text_col).cast("string")).mapInArrow(compute, "h long, points binary")
+    made = docs.select(F.col(text_col).cast("string")).mapInArrow(compute, "h long, g long, points binary")
     if wanted is None:
         made = made.join(need, "h", "left_semi")
-    return made.dropDuplicates(["h"])
+    return made.dropDuplicates(["h", "g"])
 
 
 def line_links(lists: DataFrame, texts: DataFrame, edits: int, min_chars: int) -> DataFrame:
-    """(a, b) line hashes: a spanning forest of each task's confirmed links."""
+    """(a, b) lines as structs (h, g): a spanning forest of each task's confirmed links."""
     from polyscribe.llm.op8_neardup import _groups
 
     members = lists.select("task", F.explode(F.array_distinct(F.concat("left", "right"))).alias("h")).join(texts, "h")
     none = F.lit(None).cast("array<long>")
-    heads = lists.select("task", F.lit(None).cast("long").alias("h"), F.lit(None).cast("binary").alias("points"), "left", "right")
-    rows = members.select("task", "h", "points", none.alias("left"), none.alias("right")).unionByName(heads).repartition("task").sortWithinPartitions("task")
+    heads = lists.select("task", F.lit(None).cast("long").alias("h"), F.lit(None).cast("long").alias("g"), F.lit(None).cast("binary").alias("points"), "left", "right")
+    rows = members.select("task", "h", "g", "points", none.alias("left"), none.alias("right")).unionByName(heads).repartition("task").sortWithinPartitions("task")
+    names = ["ah", "ag", "bh", "bg"]
 
     def check(batches):
-        for g in _groups(batches):
-            have = {h: np.frombuffer(x, np.uint32) for h, x in zip(g["h"].to_pylist(), g["points"].to_pylist(), strict=True) if h is not None}
-            root = {h: h for h in have}
-
-            def find(x, root=root):
-                while root[x] != x:
-                    root[x] = root[root[x]]
-                    x = root[x]
-                return x
-
-            out = []
-            for left, right in zip(g["left"].to_pylist(), g["right"].to_pylist(), strict=True):
-                if left is None:
-                    continue
-                for i, a in enumerate(left):
-                    for b in right or left[i + 1 :]:
-                        p, q = find(a), find(b)
-                        if p != q and within(have[a], have[b], min(edits, min(len(have[a]), len(have[b])) * edits // min_chars)):
-                            root[max(p, q)] = min(p, q)
-                            out.append((a, b))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], ["a", "b"])
-
-    return rows.mapInArrow(check, "a long, b long")
+        points, h, g, a, b, held = [], [], [], [], [], 0
+
+        def flush():
+            nonlocal points, h, g, a, b, held
+            p, q = forest(points, np.concatenate(a), np.concatenate(b), edits, min_chars)
+            hs, gs = np.array(h, np.int64), np.array(g, np.int64)
+            points, h, g, a, b, held = [], [], [], [], [], 0
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (hs[p], gs[p], hs[q], gs[q])], names)
+
+        for group in _groups(batches):
+            where: dict[int, list[int]] = {}  # different lines of one h are lines of their own
+            for x, y, z in zip(group["h"].to_pylist(), group["g"].to_pylist(), group["points"].to_pylist(), strict=True):
+                if x is not None:
+                    where.setdefault(x, []).append(len(points))
+                    points.append(np.frombuffer(z, np.uint32))
+                    h.append(x)
+                    g.append(y)
+            at = lambda side, where=where: np.array([n for x in side for n in where[x]], np.int64)
+            for left, right in zip(group["left"].to_pylist(), group["right"].to_pylist(), strict=True):
+                if left is not None:
+                    i, j = at(left), at(right)
+                    if len(j):
+                        a.append(np.repeat(i, len(j)))
+                        b.append(np.tile(j, len(i)))
+                    else:
+                        u, v = np.triu_indices(len(i), 1)
+                        a.append(i[u])
+                        b.append(i[v])
+                    held += len(a[-1])
+            if held > 100_000 or len(points) > 50_000:
+                yield flush()
+        if a:
+            yield flush()
+
+    made = rows.mapInArrow(check, ", ".join(f"{x} long" for x in names))
+    return made.select(F.struct(F.col("ah").alias("h"), F.col("ag").alias("g")).alias("a"), F.struct(F.col("bh").alias("h"), F.col("bg").alias("g")).alias("b"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, result_prefix: str = "", short: bool = False) -> DataFrame:
@@ -331,25 +467,27 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if min_chars <= edits + 1:
         raise ValueError("min_chars must exceed edits + 1, so that every segment has text")
     every = materialise(line_table(docs, id_col, text_col, min_chars, short), "line-table")
-    lists = materialise(meetings(docs, text_col, edits, min_chars, every.count(), short), "line-lists")
+    parts = materialise(meetings(docs, text_col, edits, min_chars, every.count(), short), "line-parts")
+    lists = materialise(pair_tasks(parts), "line-lists")
     need = materialise(lists.select(F.explode(F.concat("left", "right")).alias("h")).distinct(), "line-need")
     texts = materialise(line_texts(docs, need, text_col, min_chars, short), "line-texts")
     links = materialise(line_links(lists, texts, edits, min_chars), "line-links")
-    discard(lists, need, texts)
-    label = components(links).withColumnRenamed("node", "h")
-    classed = materialise(every.join(label, "h", "left").select("doc_id", "line", F.coalesce("component", "h").alias("class")), "line-classed")
+    discard(parts, lists, need, texts)
+    label = components(links).select(F.col("node.h").alias("h"), F.col("node.g").alias("g"), F.col("component.h").alias("ch"), F.col("component.g").alias("cg"))
+    classed = materialise(every.join(label, ["h", "g"], "left").select("doc_id", "line", F.coalesce("ch", "h").alias("ch"), F.coalesce("cg", "g").alias("cg")), "line-classed")
     # written, so that the join below deals its rows anew and a common line's rows can be split among tasks
-    first = materialise(classed.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("size")).filter("size > 1").select("class", "first"), "line-first")
-    gone = classed.join(first, "class").filter(F.struct("doc_id", "line") > F.col("first"))
+    first = materialise(classed.groupBy("ch", "cg").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("size")).filter("size > 1").select("ch", "cg", "first"), "line-first")
+    gone = classed.join(first, ["ch", "cg"]).filter(F.struct("doc_id", "line") > F.col("first"))
+    gone_name, doc_name = unused(docs, "_gone"), unused(docs, "_line_doc")
     per_doc = materialise(
-        gone.select("doc_id", "line", F.col("first.doc_id").alias("first_doc")).distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line", "first_doc"))).alias("_gone")).withColumnRenamed("doc_id", "_line_doc"),
+        gone.select("doc_id", "line", F.col("first.doc_id").alias("first_doc")).distinct().groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("line", "first_doc"))).alias(gone_name)).withColumnRenamed("doc_id", doc_name),
         "line-gone",
     )
-    discard(every, classed, first)
+    discard(every, classed, first, links)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
     # what is removed grows with the documents, so this side is never broadcast
-    joined = docs.join(per_doc.hint("merge"), key == F.col("_line_doc"), "left").drop("_line_doc")
-    gone_lines = F.coalesce(F.col("_gone.line"), F.array().cast("array<int>"))
+    joined = docs.join(per_doc.hint("merge"), key == F.col(doc_name), "left").drop(doc_name)
+    gone_lines = F.coalesce(F.col(gone_name)["line"], F.array().cast("array<int>"))
     text = F.col(text_col).cast("string")
     pieces_ = F.split(text, "\n", -1)
     staying = F.array_except(F.sequence(F.lit(0), F.size(pieces_) - 1), gone_lines)
@@ -357,7 +495,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return joined.select(
         *[c for c in docs.columns],
         F.when(F.coalesce(text, F.lit("")) == "", 0).otherwise(F.size(pieces_)).cast("long").alias(f"{result_prefix}n_lines"),
-        gone_lines.alias(f"{result_prefix}removed"), F.coalesce(F.transform("_gone.first_doc", lambda x: F.when(x != NULL_ID, x)), F.array().cast("array<long>")).alias(f"{result_prefix}first_docs"),
+        gone_lines.alias(f"{result_prefix}removed"), F.coalesce(F.transform(F.col(gone_name)["first_doc"], lambda x: F.when(x != NULL_ID, x)), F.array().cast("array<long>")).alias(f"{result_prefix}first_docs"),
         F.when(F.size(gone_lines) > 0, kept).otherwise(text).alias(f"{result_prefix}kept"),
     )
 

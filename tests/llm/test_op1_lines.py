@@ -1,3 +1,5 @@
+import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -5,7 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from polyscribe.llm.op1_lines import line_dedup, op1_lines, within
+from polyscribe.llm import op1_lines as op
+from polyscribe.llm.op1_lines import banded_many, line_dedup, op1_lines, within
 from tests.llm.helpers import edge_rows, prose, table
 
 
@@ -64,6 +67,56 @@ def test_banded_distance(a, b, k):
     assert within(points(a), points(b), k) == (distance(a, b) <= k)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.text("abç", min_size=4, max_size=14), st.text("abç", min_size=4, max_size=14)), min_size=1, max_size=6), st.integers(0, 3))
+def test_banded_distances_of_many_pairs(pairs, k):
+    pairs = [(a, b) for a, b in pairs if abs(len(a) - len(b)) <= k]
+    texts = [x for p in pairs for x in p]
+    length = np.array([len(x) for x in texts], np.int64)
+    flat = np.array([ord(c) for x in texts for c in x] + [0], np.uint32)
+    start = np.concatenate([[0], np.cumsum(length)])[:-1].astype(np.int64)
+    i = np.arange(len(pairs))
+    if len(i):
+        assert (banded_many(flat, start, length, 2 * i, 2 * i + 1, k) <= k).tolist() == [distance(a, b) <= k for a, b in pairs]
+
+
+def template(n, seed=1):
+    """Different lines that share two of three segments; every tenth is one edit from the one before."""
+    rng, out = random.Random(seed), []
+    for i in range(n):
+        own = out[-1][39:-1] + "#" if i % 10 == 9 else "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(22))
+        out.append(f"This page was last edited by user numb {own}"[:39] + own)
+    return out
+
+
+def test_templates_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(op, "GROUP", 16)
+    monkeypatch.setattr(op, "CHUNK", 20)
+    check(spark, [(d, line) for d, line in enumerate(template(150))])
+
+
+def test_many_lines_that_share_a_segment(spark):
+    """20,000 template lines: 2e8 pairs under one key, in tasks of two chunks."""
+    lines = template(20_000)
+    began = time.time()
+    out = line_dedup(table(spark, [(d, "\n".join(lines[40 * d : 40 * d + 40])) for d in range(500)]))
+    assert out.selectExpr("sum(size(removed))").first()[0] == 2000
+    assert time.time() - began < 150
+
+
+def test_lines_of_one_hash_stay_apart(spark, monkeypatch):
+    """Where the first half of the identity says nothing, the second and the texts decide."""
+    monkeypatch.setattr(op.Lines, "hashes", lambda self: np.zeros(len(self.starts), np.uint64) + np.uint64(7))
+    lines = op.Lines(np.frombuffer(b"one line\nanother", np.uint8), np.array([0, 16]))
+    assert len(set(lines.seconds(np.arange(2)).tolist())) == 2 and len(set(lines.hashes().tolist())) == 1
+
+
+def test_columns_with_names_used_inside(spark):
+    docs = table(spark, [(1, prose(1, 9)), (2, prose(1, 9))]).withColumnsRenamed({"kept": "_gone", "h": "_line_doc"})
+    got = {r["doc_id"]: r for r in line_dedup(docs).collect()}
+    assert got[2]["removed"] == [0] and got[1]["removed"] == [] and got[2]["_gone"] == "x" and got[2]["_line_doc"] == "h"
+
+
 def test_brute_force(spark):
     base = [prose(i, 8) for i in range(12)]
     rows = []
