@@ -15,6 +15,7 @@ from polyscribe.functions import chars as C
 from polyscribe.functions import similarity as S
 from polyscribe.functions import tokens as T
 from polyscribe.functions import unicode as U
+from polyscribe.functions.substitutions import SUBSTITUTIONS, default_rules
 from polyscribe.operators import dehyphenate as D
 from polyscribe.operators import fuzzy as Z
 from polyscribe.operators import layout as L
@@ -104,14 +105,16 @@ def _tokens(table: str, id_col: str, out: str) -> str:
 
 _W = _tokens("documents", "doc_id", "w")
 _B = _tokens("benchmark", "item_id", "b")
-_V = f"""{_W},
+_V_OF = f"""
 raw AS (SELECT text, count(*) AS c FROM w GROUP BY text),
 keyed AS (SELECT text, c, {_fold(_core("text"))} AS k FROM raw),
 v AS MATERIALIZED (SELECT CASE WHEN k <> '' THEN k ELSE text END AS word, CAST(sum(c) AS BIGINT) AS n FROM keyed GROUP BY 1)"""
-_X = f"""{_B},
+_V = f"{_W},{_V_OF}"
+_X_OF = f"""
 lex AS (SELECT DISTINCT {_fold(_low(_core("text")))} AS word FROM b),
 lexicon AS MATERIALIZED (SELECT word FROM lex WHERE word <> ''),
 idx AS MATERIALIZED (SELECT strip_accents(word) AS bare, max(word) AS word FROM lexicon GROUP BY 1)"""
+_X = f"{_B},{_X_OF}"
 _IN = "IN (SELECT word FROM lexicon)"
 
 
@@ -170,11 +173,14 @@ ln AS (SELECT page_id, n, part, text, sum(s) OVER (PARTITION BY page_id ORDER BY
 wrapped AS (SELECT page_id, CAST(line_no AS INTEGER) AS line_no, CAST(row_number() OVER (PARTITION BY page_id, line_no ORDER BY n, part) - 1 AS INTEGER) AS word_no, text FROM ln)""".replace("len(text) // 2", "CAST(floor(len(text) / 2) AS INTEGER)")
 
 
-@query(_sql("""SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY head_line) - 1 AS INTEGER) AS pair, head_line, head.k AS head_word, tail_line, tail.k AS tail_word, head.t AS head, tail.t AS tail, left(head.t, len(head.t) - 1) || tail.t AS joined, len(head.t) AS hyphen_position, rule
+_PAIRS = """SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY head_line) - 1 AS INTEGER) AS pair, head_line, head.k AS head_word, tail_line, tail.k AS tail_word, head.t AS head, tail.t AS tail, left(head.t, len(head.t) - 1) || tail.t AS joined, len(head.t) AS hyphen_position, rule
 FROM (SELECT page_id, line_no AS head_line, CASE WHEN own THEN z WHEN other THEN y END AS head, nl AS tail_line, CASE WHEN regexp_matches(na.t, '^[\\p{Nd}OIi.]+$') AND nb IS NOT NULL THEN nb ELSE na END AS tail, CASE WHEN own THEN 'last' ELSE 'before_last' END AS rule
   FROM (SELECT *, right(z.t, 1) = '-' AND len(z.t) > 2 AS own, coalesce(right(y.t, 1) = '-', FALSE) AS other FROM
     (SELECT page_id, line_no, ws[len(ws)] AS z, CASE WHEN len(ws) > 1 THEN ws[len(ws) - 1] END AS y, lead(line_no) OVER p AS nl, lead(ws[1]) OVER p AS na, lead(CASE WHEN len(ws) > 1 THEN ws[2] END) OVER p AS nb
-     FROM (SELECT page_id, line_no, list({k: word_no, t: text} ORDER BY word_no) AS ws FROM wrapped GROUP BY page_id, line_no) WINDOW p AS (PARTITION BY page_id ORDER BY line_no)) WHERE nl IS NOT NULL)) WHERE head IS NOT NULL""", _WRAP))
+     FROM (SELECT page_id, line_no, list({k: word_no, t: text} ORDER BY word_no) AS ws FROM wrapped GROUP BY page_id, line_no) WINDOW p AS (PARTITION BY page_id ORDER BY line_no)) WHERE nl IS NOT NULL)) WHERE head IS NOT NULL"""
+
+
+@query(_sql(_PAIRS, _WRAP))
 def dehyph_pairs(spark, d):
     return D.hyphen_pairs(D.wrap(_words(spark, d)))
 
@@ -277,13 +283,15 @@ def subst_repair(spark, d):
 
 
 _ENCLITIC = " OR ".join(f"(right(word, {len(s)}) = '{s}' AND (left(word, len(word) - {len(s)}) {_IN} OR {_key(f'left(word, len(word) - {len(s)})')} {_IN}))" for s in T.LATIN_SUFFIXES)
-# The driver's words hold no final sigma, so the stage that cuts words after one has no rows here; tests cover it.
-_CASCADE = f"""{_V}, {_X}, {_RULES},
+_CASCADE_OF = f"""
+pz AS (SELECT word, unnest(regexp_extract_all(word, '[^ς]*ς|[^ς]+$')) AS p, unnest(range(1, len(regexp_extract_all(word, '[^ς]*ς|[^ς]+$')) + 1)) AS i FROM v WHERE contains(word, 'ς')),
+pr AS (SELECT pz.word, i, p, idx.word AS bare, CASE WHEN p {_IN} THEN 0 WHEN idx.word IS NOT NULL THEN 1 WHEN {_key('p')} {_IN} THEN 2 END AS r FROM pz LEFT JOIN idx ON strip_accents(p) = idx.bare),
+ps AS MATERIALIZED (SELECT word, CASE WHEN max(CAST(r = 1 AS INTEGER)) = 1 THEN 'SplitNoAcc' ELSE 'Split' END AS smode, string_agg(' ' || CASE WHEN r = 1 THEN bare ELSE p END, '' ORDER BY i) AS sout FROM pr GROUP BY word HAVING count(*) = count(r)),
 m AS (SELECT *, regexp_matches(word, '{_MARKED}') AS marked, regexp_extract(word, '{_MARKED}', 1) AS a, regexp_extract(word, '{_MARKED}', 2) AS mk, regexp_extract(word, '{_MARKED}', 3) AS z FROM v),
 s1 AS MATERIALIZED (SELECT m.word, n, a, mk, z, idx.word AS bare, CASE WHEN m.word {_IN} THEN 'True' WHEN {_key('m.word')} {_IN} THEN 'TrueLower' WHEN idx.word IS NOT NULL THEN 'NoAcc'
-  WHEN marked AND (a || z {_IN} OR {_key('(a || z)')} {_IN}) THEN 'PunctStrip' WHEN marked AND a {_IN} AND z {_IN} THEN 'SplitOnPunct'
-  WHEN regexp_matches(m.word, '{_NUMERAL}') OR regexp_matches(translate(m.word, 'ʹ', '′'), '{T.GREEK_NUMERAL}') THEN 'Numerical' ELSE 'False' END AS mode FROM m LEFT JOIN idx ON strip_accents(m.word) = idx.bare),
-s2 AS MATERIALIZED (SELECT word, n, mode AS old, CASE WHEN {_ENCLITIC} THEN 'True' ELSE mode END AS mode, CASE mode WHEN 'NoAcc' THEN bare WHEN 'PunctStrip' THEN a || z WHEN 'SplitOnPunct' THEN a || mk || ' ' || z
+  WHEN marked AND (a || z {_IN} OR {_key('(a || z)')} {_IN}) THEN 'PunctStrip' WHEN marked AND a {_IN} AND z {_IN} THEN 'SplitOnPunct' WHEN ps.smode IS NOT NULL THEN ps.smode
+  WHEN regexp_matches(m.word, '{_NUMERAL}') OR regexp_matches(translate(m.word, 'ʹ', '′'), '{T.GREEK_NUMERAL}') THEN 'Numerical' ELSE 'False' END AS mode, ps.sout FROM m LEFT JOIN idx ON strip_accents(m.word) = idx.bare LEFT JOIN ps ON ps.word = m.word),
+s2 AS MATERIALIZED (SELECT word, n, mode AS old, CASE WHEN {_ENCLITIC} THEN 'True' ELSE mode END AS mode, CASE mode WHEN 'NoAcc' THEN bare WHEN 'PunctStrip' THEN a || z WHEN 'SplitOnPunct' THEN a || mk || ' ' || z WHEN 'Split' THEN sout WHEN 'SplitNoAcc' THEN sout
   WHEN 'Numerical' THEN CASE WHEN regexp_matches(word, '{_NUMERAL}') THEN regexp_extract(word, '{_NUMERAL}', 1) || replace(regexp_extract(word, '{_NUMERAL}', 2), 'I', '1') || regexp_extract(word, '{_NUMERAL}', 3) ELSE translate(word, 'ʹ', '′') END ELSE '' END AS output FROM s1),
 op AS MATERIALIZED (SELECT word FROM s2 WHERE mode = 'False'),{_subs("op")},
 dq AS (SELECT word, {_squeezed('word')} AS x FROM op),
@@ -291,6 +299,7 @@ dd AS MATERIALIZED (SELECT dq.word, CASE WHEN x {_IN} THEN 'Dedup' WHEN {_key('x
 {_HALVES.format(src="op")},
 done AS (SELECT s2.word, n, coalesce(sub.mode, dd.mode, CASE WHEN hh.word IS NOT NULL THEN 'True' END, s2.mode) AS mode, coalesce(sub.output, CASE WHEN dd.mode IS NOT NULL THEN dd.output END, hh.a || ' ' || hh.b, s2.output) AS output
   FROM s2 LEFT JOIN sub ON s2.word = sub.word AND sub.k = 1 LEFT JOIN dd ON s2.word = dd.word AND dd.mode IS NOT NULL LEFT JOIN hh ON s2.word = hh.word AND hh.k = 1)"""
+_CASCADE = f"{_V}, {_X}, {_RULES},{_CASCADE_OF}"
 
 
 def _corrected(spark, d) -> DataFrame:
@@ -324,14 +333,61 @@ def apply_corrections(spark, d):
     return applied.filter("pre_spellcheck IS NOT NULL AND spellcheck_mode != 'PunctStrip'").select("page_id", "line_no", "word_no", "text", "pre_spellcheck", "spellcheck_mode")
 
 
-# --- fuzzy matching -------------------------------------------------------------------------------------
+# --- Greek: the driver's words in Greek letters, so that the classes and stages for Greek have rows ------------
+
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz."
+_GREEK = "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩΣΑαβγδεζηθικλμνξοπρστυφχψωςαʹ"
+_GW = f"{_tokens('documents', 'doc_id', 'w0')}, w AS (SELECT page_id, line_no, word_no, translate(text, '{_LETTERS}', '{_GREEK}') AS text FROM w0)"
+_GX = f"{_tokens('benchmark', 'item_id', 'b0')}, b AS (SELECT translate(text, '{_LETTERS}', '{_GREEK}') AS text FROM b0),{_X_OF}"
+_GREEK_RULES = "rules(o, f, t) AS (VALUES " + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate((a, b) for a, many in SUBSTITUTIONS for b in many.split(" ")) if len(a) == 1) + ")"
+_GREEK_CASCADE = f"{_GW},{_V_OF}, {_GX}, {_GREEK_RULES},{_CASCADE_OF}"
+
+
+def _in_greek(words: DataFrame) -> DataFrame:
+    return words.withColumn("text", F.translate("text", _LETTERS, _GREEK))
+
+
+def _greek_corrected(spark, d) -> DataFrame:
+    words = _in_greek(W.text_words(_table(spark, d, "benchmark"), "item_id")).select("text").distinct()
+    lexicon = J.make_lexicon(words.select(J.lower_word(T.token_core("text")).alias("word")))
+    return K.correct(J.vocabulary(_in_greek(_words(spark, d))), lexicon, J.make_accent_index(lexicon), default_rules(spark))
+
 
+@query(_sql("SELECT word, output, n, mode FROM done", _GREEK_CASCADE))
+def cascade_greek(spark, d):
+    """The whole cascade with the default substitutions: cuts after final sigmas and Greek numerals included."""
+    return _greek_corrected(spark, d)
 
-def _plain(words: DataFrame) -> DataFrame:
-    return words.select(F.lower("text").alias("word")).filter(F.col("word").rlike("^[a-z]{4,}$")).distinct()
 
+_GREEK_CLASS = "Ͱ-Ͽἀ-῿"
 
-_PLAIN = f"{_W}, {_B}, fw AS (SELECT DISTINCT lower(text) AS word FROM w WHERE regexp_matches(lower(text), '^[a-z]{{4,}}$')), fe AS (SELECT DISTINCT lower(text) AS entry FROM b WHERE regexp_matches(lower(text), '^[a-z]{{4,}}$'))"
+
+@query(_sql(f"""SELECT word, len(regexp_replace(word, '[^{_GREEK_CLASS}]', '', 'g')) AS greek_letters, coalesce(len(regexp_replace(s, '[^{_GREEK_CLASS}]', '', 'g')) / nullif(len(s), 0), 0.0) > 0.7 AS is_greek, regexp_matches(left(word, 1), '[Α-Ω]') AS capital, list_filter(string_split(word, ''), lambda c: c = 'ς') AS sigmas
+FROM (SELECT word, regexp_replace(word, '[!-/:-@\\[-`{{-~—·0-9]', '', 'g') AS s FROM (SELECT DISTINCT text AS word FROM w))""", _GW))
+def greek_classes(spark, d):
+    words = materialise(_in_greek(_words(spark, d)).select(F.col("text").alias("word")).distinct(), "raw-words")
+    letters = F.char_length(F.regexp_replace("word", f"[^{C.GREEK}]", ""))
+    return words.select("word", letters.cast("long").alias("greek_letters"), C.is_greek_string("word").alias("is_greek"), C.is_greek_capital(F.substring("word", 1, 1)).alias("capital"), F.transform(T.find_occurrences("word", "ς"), lambda _: F.lit("ς")).alias("sigmas"))
+
+
+_HYPHENED = f"""{_WRAP}, {_V_OF}, {_X}, {_RULES},{_CASCADE_OF}"""
+
+
+@query(_sql(f"""SELECT page_id, head_line, head_word, tail_line, tail_word, left(outcome, hyphen_position - 1) || '-' AS head, substr(outcome, hyphen_position) AS tail, mode FROM
+(SELECT pr.*, pre || CASE WHEN mode IN ('True', 'TrueLower') THEN core ELSE output END || post AS outcome, mode FROM
+ (SELECT *, regexp_extract(nfc_normalize(joined), '{_TOKEN}', 1) AS pre, regexp_extract(nfc_normalize(joined), '{_TOKEN}', 2) AS core, regexp_extract(nfc_normalize(joined), '{_TOKEN}', 3) AS post FROM pairs) AS pr
+ JOIN done ON {_fold('core')} = done.word WHERE mode <> 'False')""", _HYPHENED, f"pairs AS MATERIALIZED ({_PAIRS})"))
+def apply_hyphenated(spark, d):
+    """What the corrections make of the two halves of words broken at line ends."""
+    words = D.dehyphenate(D.wrap(_words(spark, d)))
+    applied = A.apply_corrections(words, _corrected(spark, d))
+    heads = applied.filter("hyphen_end_pair IS NOT NULL AND spellcheck_mode NOT IN ('None', 'Numerical') AND endswith(text, '-')").filter("dehyphenated_form != ''")
+    tails = applied.filter("hyphen_start_pair IS NOT NULL AND spellcheck_mode IS NOT NULL").select("page_id", F.col("hyphen_start_pair").alias("pair"), F.col("line_no").alias("tail_line"), F.col("word_no").alias("tail_word"), F.col("text").alias("tail"))
+    heads = heads.select("page_id", F.col("hyphen_end_pair").alias("pair"), F.col("line_no").alias("head_line"), F.col("word_no").alias("head_word"), F.col("text").alias("head"), F.col("spellcheck_mode").alias("mode"))
+    return heads.join(tails, ["page_id", "pair"]).drop("pair")
+
+
+# --- fuzzy matching -------------------------------------------------------------------------------------
 
 
 def _cores(words: DataFrame) -> DataFrame:
@@ -340,15 +396,16 @@ def _cores(words: DataFrame) -> DataFrame:
     return raw.select(J.lower_word(T.token_core("text")).alias("word")).filter("word != ''").distinct()
 
 
-def _fuzzy(spark, d) -> DataFrame:
-    """Plain words only: DuckDB's levenshtein counts bytes."""
-    entries = _plain(W.text_words(_table(spark, d, "benchmark"), "item_id")).withColumnRenamed("word", "entry")
-    return Z.fuzzy_pairs(_plain(_words(spark, d)), entries)
+# DuckDB's levenshtein counts bytes; with one ASCII letter for each accented one (words are in lower case) bytes are code points.
+_BYTES = "translate({0}, 'ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(1) || chr(2) || chr(3) || chr(4) || chr(5) || chr(6) || chr(7))"
+_CORED = f"""{_W}, {_B}, fw AS MATERIALIZED (SELECT word, {_BYTES.format("word")} AS x FROM (SELECT DISTINCT {_low(_core("text"))} AS word FROM w) WHERE word <> ''),
+fe AS MATERIALIZED (SELECT word AS entry, {_BYTES.format("word")} AS y FROM (SELECT DISTINCT {_low(_core("text"))} AS word FROM b) WHERE word <> '')"""
 
 
-@query(_sql("SELECT word, entry, CAST(levenshtein(word, entry) AS INTEGER) AS distance FROM fw JOIN fe ON abs(len(word) - len(entry)) <= 3 AND levenshtein(word, entry) <= 3", _PLAIN))
+@query(_sql("SELECT word, entry, CAST(levenshtein(x, y) AS INTEGER) AS distance FROM fw JOIN fe ON abs(len(x) - len(y)) <= 3 AND levenshtein(x, y) <= 3", _CORED))
 def fuzzy_matches(spark, d):
-    return _fuzzy(spark, d)
+    entries = _cores(W.text_words(_table(spark, d, "benchmark"), "item_id")).withColumnRenamed("word", "entry")
+    return Z.fuzzy_pairs(_cores(_words(spark, d)), entries)
 
 
 @query()
@@ -498,11 +555,16 @@ def confidence_summary(spark, d):
 
 
 @query("""WITH h AS (SELECT vec_id, list_transform(embedding, lambda v: v::DOUBLE > list_avg(list_transform(embedding, lambda u: u::DOUBLE))) AS bits FROM embeddings WHERE embedding IS NOT NULL),
-s AS (SELECT vec_id, array_to_string(list_transform(bits, lambda b: CASE WHEN b THEN '1' ELSE '0' END), '') AS s FROM h)
+o AS (SELECT vec_id, array_to_string(list_transform(bits, lambda b: CASE WHEN b THEN '1' ELSE '0' END), '') AS s FROM h),
+c AS (SELECT vec_id, s, unnest(range(1, 3)) AS k FROM o),
+s AS (SELECT vec_id, s FROM o UNION ALL SELECT vec_id + 1000000 * k, array_to_string(list_transform(string_split(s, ''), lambda b, i: CASE WHEN (i - 1 + vec_id) % 64 < 4 * k THEN CASE b WHEN '1' THEN '0' ELSE '1' END ELSE b END), '') FROM c)
 SELECT a.vec_id AS a, b.vec_id AS b, CAST(hamming(a.s, b.s) AS INTEGER) AS distance FROM s a JOIN s b ON a.vec_id < b.vec_id AND hamming(a.s, b.s) < 11""")
 def image_hash_pairs(spark, d):
     hashes = _table(spark, d, "embeddings").filter("embedding IS NOT NULL").select("vec_id", S.hash_words(S.average_hash(F.col("embedding"))).alias("h"))
-    return W.hash_pairs(hashes, "vec_id", "h")
+    # each image again with 4 and with 8 bits changed, as the driver's vectors are all far apart
+    flipped = lambda k: F.aggregate(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: (i + F.col("vec_id")) % 64 < 4 * k), F.lit(0).cast("long"), lambda s, i: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), (63 - i).cast("int"))))
+    copies = [hashes.select((F.col("vec_id") + 1000000 * k).alias("vec_id"), F.col("h").bitwiseXOR(flipped(k)).alias("h")) for k in (1, 2)]
+    return W.hash_pairs(hashes.unionAll(copies[0]).unionAll(copies[1]), "vec_id", "h")
 
 
 # --- reports ---------------------------------------------------------------------------------------------
