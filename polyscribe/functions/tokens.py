@@ -122,6 +122,18 @@ def line_tokens(x: Column | str) -> Column:
     return F.filter(F.split(_col(x), LINE_GAP, -1), lambda t: t != "")
 
 
+def chunks(x: Column | str, n: int) -> Column:
+    """An array in pieces of n entries, the last one with what is left."""
+    x = _col(x)
+    return F.when(F.size(x) > 0, F.transform(F.sequence(F.lit(1), F.size(x), F.lit(n)), lambda i: F.slice(x, i, n))).when(x.isNotNull(), F.array().cast("array<array<string>>"))
+
+
+def windows(x: Column | str, n: int) -> Column:
+    """Every n consecutive entries of an array."""
+    x = _col(x)
+    return F.when(F.size(x) >= n, F.transform(F.sequence(F.lit(1), F.size(x) - n + 1), lambda i: F.slice(x, i, n))).when(x.isNotNull(), F.array().cast("array<array<string>>"))
+
+
 def halves(x: Column | str) -> Column:
     """The pairs tried when a word may be two: array of struct(a, b), in order, for words of ten or more characters.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from polyscribe.functions import geometry as G
 from polyscribe.functions.chars import GREEK, script_share
+from polyscribe.operators.words import page_title
 
 
 def share_spaces(words: DataFrame) -> DataFrame:
@@ -155,9 +156,46 @@ def confidence_summary(words: DataFrame, column: str = "confs") -> DataFrame:
     return words.withColumns({"min_confidence": F.when(some, F.round(F.array_min(values), 2)), "average_confidence": F.when(some, F.round(mean, 2))})
 
 
-def clean_page_words(words: DataFrame, page_area: Column) -> DataFrame:
-    """The clean-up of line-recogniser output: oversize words go, spaces are shared out, confidences are summed up."""
-    return confidence_summary(share_spaces(without_oversize(words, page_area)))
+def clean_page_words(words: DataFrame, page_area: Column, file_name: Column | None = None) -> DataFrame:
+    """The clean-up of line-recogniser output: oversize words go, spaces are shared out, confidences are summed up, and with a file name the page's title names its image."""
+    out = confidence_summary(share_spaces(without_oversize(words, page_area)))
+    return out if file_name is None else out.withColumn("page_title", page_title(F.col("page_title"), file_name))
+
+
+def merge_boxes(components: DataFrame, gap: int, line: tuple[str, ...] = ("page_id", "line_no")) -> DataFrame:
+    """(page_id, line_no, box_no, n, x0, y0, x1, y1): the components of a line joined to words where no more than ``gap`` lies between them."""
+    along = Window.partitionBy(*line).orderBy("x0", (F.col("x0") + F.col("w")))
+    reach = F.max(F.col("x0") + F.col("w")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    marked = components.withColumn("_starts", F.when(F.col("x0") <= reach + gap, 0).otherwise(1))
+    numbered = marked.withColumn("box_no", (F.sum("_starts").over(along.rowsBetween(Window.unboundedPreceding, 0)) - 1).cast("int"))
+    return numbered.groupBy(*line, "box_no").agg(F.count("*").alias("n"), F.min("x0").alias("x0"), F.min("y0").alias("y0"), F.max(F.col("x0") + F.col("w")).alias("x1"), F.max(F.col("y0") + F.col("h")).alias("y1"))
+
+
+def nearest_classes(rows: DataFrame, samples: DataFrame, features: list[str], k: int = 3, most_samples: int = 10_000, slack: float = 1.2) -> DataFrame:
+    """rows with ``nearest`` (distance to the closest sample) and ``label``: the commonest of the k nearest samples', null if too far.
+
+    ``samples`` has sample_id, label and the features, and no more than ``most_samples`` rows, so that it can go to every task as one value.
+    Too far is over ``slack`` times the largest distance from a sample to the sample nearest to it. Ties: the smaller sample_id, the smaller label.
+    """
+    held = samples.select("sample_id", "label", *[F.col(c).cast("double").alias(c) for c in features]).limit(most_samples + 1).collect()
+    if len(held) > most_samples:
+        raise ValueError(f"more than {most_samples} samples")
+    spark = rows.sparkSession
+    kind = "sample_id long, label string, " + ", ".join(f"{c} double" for c in features)
+    table = spark.createDataFrame([(r[0], str(r[1]), *r[2:]) for r in held], kind)
+    one = table.agg(F.collect_list(F.struct(*table.columns)).alias("_samples"))
+
+    def distances(values: list[Column], skip: Column | None = None) -> Column:
+        every = F.transform("_samples", lambda s: F.struct(F.sqrt(sum(((s[c] - v) * (s[c] - v) for c, v in zip(features, values, strict=True)), F.lit(0.0))).alias("d"), s["sample_id"].alias("id"), s["label"].alias("label")))
+        return F.array_sort(every if skip is None else F.filter(every, lambda x: x["id"] != skip))
+
+    own = table.join(F.broadcast(one)).select(F.get(distances([F.col(c) for c in features], F.col("sample_id")), F.lit(0))["d"].alias("d"))
+    limit = own.agg(F.max("d")).first()[0]
+    near = F.slice(distances([F.col(c).cast("double") for c in features]), 1, k)
+    asked = rows.join(F.broadcast(one)).withColumn("_near", near)
+    votes = F.transform(F.array_distinct(F.transform("_near", lambda x: x["label"])), lambda label: F.struct((-F.size(F.filter("_near", lambda x: x["label"] == label))).alias("n"), label.alias("label")))
+    nearest = F.get("_near", F.lit(0))["d"]
+    return asked.select(*rows.columns, nearest.alias("nearest"), F.when(nearest <= (slack * limit if limit is not None else float("inf")), F.array_min(votes)["label"]).alias("label"))
 
 
 def contiguous_run(rows: DataFrame, group: list[str], order: list[str], ok: Column) -> DataFrame:

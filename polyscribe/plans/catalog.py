@@ -541,7 +541,49 @@ def footnotes(spark, d):
     return L.after_first(_components(spark, d), ["page_id"], ["y0", "x0", "word_no"], inside & straddles, "footnote").select("page_id", "line_no", "word_no", "footnote")
 
 
-@query()
+@query(_sql("""SELECT page_id, line_no, word_no FROM (SELECT s.*, sum(CASE WHEN y0 <= sy + sh AND y0 + h >= sy THEN 0 ELSE 1 END) OVER (PARTITION BY page_id, x0 >= sx ORDER BY CASE WHEN x0 >= sx THEN x0 ELSE -x0 END, y0) AS bad FROM
+(SELECT cc.*, q.s.x AS sx, q.s.y AS sy, q.s.h AS sh FROM cc JOIN (SELECT page_id, min({y: y0, x: x0, w: w, h: h}) AS s FROM cc WHERE x0 <= 800 AND x0 + w >= 800 GROUP BY page_id) q USING (page_id)) s) WHERE bad = 0""", _PARTS))
+def title_bands(spark, d):
+    return L.title_band(_components(spark, d), F.lit(800)).select("page_id", "line_no", "word_no")
+
+
+@query(_sql("""SELECT page_id, line_no, CAST(box_no AS INTEGER) AS box_no, count(*) AS n, min(x0) AS x0, min(y0) AS y0, max(x0 + w) AS x1, max(y0 + h) AS y1 FROM (SELECT *, sum(s) OVER (PARTITION BY page_id, line_no ORDER BY x0, x0 + w ROWS UNBOUNDED PRECEDING) - 1 AS box_no FROM
+(SELECT *, CASE WHEN x0 <= max(x0 + w) OVER (PARTITION BY page_id, line_no ORDER BY x0, x0 + w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 55 THEN 0 ELSE 1 END AS s FROM cc)) GROUP BY page_id, line_no, box_no""", _PARTS))
+def box_words(spark, d):
+    return L.merge_boxes(_components(spark, d), 55)
+
+
+_SAMPLES = "sm AS (SELECT item_id AS sample_id, chr(CAST(65 + item_id % 4 AS INTEGER)) AS label, item_id * 37 % 1600 AS x0, 1 + item_id % 5 AS w, 10 + item_id * 11 % 200 AS h FROM benchmark)"
+
+
+@query(_sql("""SELECT page_id, line_no, word_no, CASE WHEN near <= 1.2 * lim THEN label END AS label, round(near, 6) AS nearest FROM
+(SELECT page_id, line_no, word_no, max(near) AS near, arg_min(label, {n: -n, l: label}) AS label FROM (SELECT page_id, line_no, word_no, label, count(*) AS n, min(d) AS near0, min(min(d)) OVER (PARTITION BY page_id, line_no, word_no) AS near FROM
+ (SELECT *, row_number() OVER (PARTITION BY page_id, line_no, word_no ORDER BY d, sample_id) AS k FROM (SELECT page_id, line_no, word_no, sample_id, label, sqrt((cc.x0 - sm.x0)::DOUBLE ** 2 + (cc.w - sm.w)::DOUBLE ** 2 + (cc.h - sm.h)::DOUBLE ** 2) AS d FROM cc, sm)) WHERE k <= 3 GROUP BY page_id, line_no, word_no, label)
+ GROUP BY page_id, line_no, word_no), (SELECT max(d) AS lim FROM (SELECT a.sample_id, min(sqrt((a.x0 - b.x0)::DOUBLE ** 2 + (a.w - b.w)::DOUBLE ** 2 + (a.h - b.h)::DOUBLE ** 2)) AS d FROM sm a JOIN sm b ON a.sample_id <> b.sample_id GROUP BY a.sample_id))""", _PARTS, _SAMPLES))
+def letter_classes(spark, d):
+    """Components by their three nearest samples."""
+    n = F.col("item_id")
+    samples = _table(spark, d, "benchmark").select(n.alias("sample_id"), F.chr(65 + n % 4).alias("label"), (n * 37 % 1600).alias("x0"), (1 + n % 5).alias("w"), (10 + n * 11 % 200).alias("h"))
+    out = L.nearest_classes(_components(spark, d), samples, ["x0", "w", "h"])
+    return out.select("page_id", "line_no", "word_no", "label", F.round("nearest", 6).alias("nearest"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS page_id FROM documents WHERE doc_id IN (SELECT page_id * 2 FROM pages)")
+def pages_with_images(spark, d):
+    pages = _table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("page_id"))
+    images = _table(spark, d, "pages").select(F.concat((2 * F.col("page_id")).cast("string"), F.lit(".png")).alias("name"))
+    return P.pages_with_images(pages, images)
+
+
+_VOTES = f"""{_PARTS}, an AS (SELECT unnest(range(0, 40)) AS a), cst AS (SELECT page_id, a, CAST(floor((x0 * cos((a - 19.5::DOUBLE) / 40 * 0.2::DOUBLE * pi()) + y0 * sin((a - 19.5::DOUBLE) / 40 * 0.2::DOUBLE * pi())) / 4) AS INTEGER) AS r FROM cc, an),
+vt AS (SELECT page_id, r, a, count(*) AS n FROM cst GROUP BY page_id, r, a),
+nb AS (SELECT page_id, r + dr AS r, a + da AS a, max(n) AS m FROM vt, (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) AS s(dr, da) GROUP BY ALL),
+pk AS (SELECT vt.* FROM vt LEFT JOIN nb ON vt.page_id = nb.page_id AND vt.r = nb.r AND vt.a = nb.a WHERE n >= coalesce(m, 0)),
+f1 AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY n DESC, r, a) AS k FROM pk),
+f2 AS (SELECT f1.*, row_number() OVER (PARTITION BY f1.page_id ORDER BY f1.n DESC, f1.r, f1.a) AS j FROM f1 JOIN f1 AS top ON f1.page_id = top.page_id AND top.k = 1 AND abs(f1.r - top.r) >= 10)"""
+
+
+@query(_sql("SELECT page_id, 0 AS rank, r AS radius_no, CAST(a AS INTEGER) AS angle_no, n AS votes FROM f1 WHERE k = 1 UNION ALL SELECT page_id, 1, r, CAST(a AS INTEGER), n FROM f2 WHERE j = 1", _VOTES))
 def line_votes(spark, d):
     points = _components(spark, d).select("page_id", F.col("x0").alias("x"), F.col("y0").alias("y"))
     return L.best_lines(L.line_votes(points))

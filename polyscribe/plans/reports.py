@@ -37,6 +37,12 @@ def page_strip(images: DataFrame, accuracies: DataFrame) -> DataFrame:
     return joined.select("n", "name", "stem", "accuracy", accuracy_colour(F.col("accuracy")).alias("colour"), (2 * F.col("n")).alias("x"))
 
 
+def pages_with_images(pages: DataFrame, images: DataFrame) -> DataFrame:
+    """The pages (page_id) that have an image of their name; images: name, with extension."""
+    stems = images.select(F.regexp_replace("name", r"\.[^.]*$", "").alias("_stem"))
+    return pages.join(stems, F.col("page_id").cast("string") == F.col("_stem"), "left_semi")
+
+
 def assess(words: DataFrame, of_script=is_greek_string) -> DataFrame:
     """One row: words, unspellchecked and verified ones, each also of the script, and floored completion percentages.
 

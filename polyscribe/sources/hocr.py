@@ -212,9 +212,9 @@ def _escaped(x: Column, quotes: bool = False) -> Column:
     return x
 
 
-def meta_tags(values: dict[str, Column | str]) -> Column:
+def meta_tags(values: dict[str, Column | str | None]) -> Column:
     """``meta`` elements of a page's head, of names (Dublin Core's, say) and values; null values are left out."""
-    tags = [F.concat(F.lit(f'<meta name="{escape(name, quote=True)}"'), _quoted("content", F.lit(v) if isinstance(v, str) else v), F.lit("/>")) for name, v in values.items()]
+    tags = [F.concat(F.lit(f'<meta name="{escape(name, quote=True)}"'), _quoted("content", v if isinstance(v, Column) else F.lit(v)), F.lit("/>")) for name, v in values.items()]
     return F.concat(*[F.when(tag.contains(' content="'), tag).otherwise("") for tag in tags]) if tags else F.lit("")
 
 

@@ -1,7 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from polyscribe.functions import chars as C
 from polyscribe.functions import similarity as S
+from polyscribe.functions import tokens as T
 from polyscribe.functions import unicode as U
 from polyscribe.operators import dehyphenate as D
 from polyscribe.operators import fuzzy as Z
@@ -246,3 +248,24 @@ def test_word_projections(spark):
     assert len({r["id"] for r in got}) == 2 and {r["class"] for r in got} == {"ocr_word"} and {r["manually_confirmed"] for r in got} == {"false"}
     assert W.text_words(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")).count() == 0
     assert C.is_number("x") is not None
+
+
+def test_chunks_and_windows(spark):
+    rows = spark.createDataFrame([(list("abcde"),), ([],), (None,)], "x array<string>")
+    assert [r[0] for r in rows.select(T.chunks("x", 2)).collect()] == [[["a", "b"], ["c", "d"], ["e"]], [], None]
+    assert [r[0] for r in rows.select(T.windows("x", 4)).collect()] == [[list("abcd"), list("bcde")], [], None]
+
+
+def test_nearest_classes_reject_what_is_too_far(spark):
+    samples = spark.createDataFrame([(1, "a", 0.0), (2, "a", 1.0), (3, "b", 10.0), (4, "b", 12.0), (5, "c", 11.0)], "sample_id long, label string, x double")
+    rows = spark.createDataFrame([(0.4,), (11.6,), (30.0,), (14.0,)], "x double")
+    got = {r["x"]: r["label"] for r in L.nearest_classes(rows, samples, ["x"], 3, slack=2.5).collect()}
+    assert got == {0.4: "a", 11.6: "b", 30.0: None, 14.0: "b"}
+    with pytest.raises(ValueError):
+        L.nearest_classes(rows, samples, ["x"], most_samples=3)
+
+
+def test_clean_pages_name_their_image(spark):
+    box = "struct(0 as x0, 0 as y0, 10 as x1, 10 as y1)"
+    words = spark.sql(f"select 'p' page_id, 0 line_no, 0 word_no, 'a' text, {box} bbox, array(0.5D) confs, 'bbox 1 2 3 4; x' page_title")
+    assert L.clean_page_words(words, F.lit(10_000), F.lit("p1.tif")).first()["page_title"] == "image p1.png; bbox 1 2 3 4"

@@ -46,6 +46,24 @@ def test_render_and_read_again(spark, tmp_path):
     assert {p.name for p in (tmp_path / "out").glob("page_id=*")} == {"page_id=p", "page_id=q"}
 
 
+def test_render_in_reading_order_with_meta_tags(spark):
+    words = hocr.parse_words(pages(spark, p=PAGE)).withColumn("reading_no", 9 - F.col("line_no"))
+    made = hocr.render_pages(words, hocr.meta_tags({"DC.title": F.concat(F.lit("page <"), F.col("page_id")), "DC.creator": None, "ocr-system": "x"}))
+    markup = made.first()["markup"]
+    assert '<meta name="DC.title" content="page &lt;p"/><meta name="ocr-system" content="x"/>' in markup and "DC.creator" not in markup
+    again = values(hocr.parse_words(made, strict=True), "line_no", "text")
+    assert again == sorted([(0, None), (1, "λόγος"), (1, "ab-")], key=repr)
+
+
+def test_well_formed_and_lenient_parsers_agree():
+    words, title = hocr._well_formed(PAGE)
+    parser = hocr._Pages()
+    parser.feed(PAGE)
+    parser.close()
+    some = lambda w: {k: v for k, v in w.items() if v is not None}
+    assert [some(w) for w in words] == [some(w) for w in parser.words] and title == parser.page_title
+
+
 def test_read_folder(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "output-a1.html").write_text(PAGE)
