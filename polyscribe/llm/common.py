@@ -38,9 +38,50 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
-def shards_for(total: float, each: float) -> int:
-    """How many shards keep about ``each`` items in one (8 at least, so that small inputs use the cores too)."""
-    return int(max(8, min(1_000_000, -(-total // each))))
+#: Shards to which a block sends rows of its own. Where there are more, a middle step gathers what some blocks send.
+FAN_OUT = 1024
+
+
+def shards_for(total: float, each: float) -> tuple[int, int]:
+    """(routes, inner): routes * inner shards keep about ``each`` items in one (8 at least, so that small inputs use the cores too)."""
+    shards = max(8, -(-total // each))
+    routes = int(min(shards, FAN_OUT))
+    return routes, int(-(-shards // routes))
+
+
+def cuts(keys: np.ndarray, pieces: int, bits: int, first: int = 0, of: int | None = None) -> np.ndarray:
+    """Where sorted ``bits``-bit keys change shard: shards first, first + 1, ... of ``of`` equal slices of the key space (all of them by default)."""
+    edges = [((first + s) << bits) // (of or pieces) for s in range(1, pieces)]
+    return np.concatenate([[0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]]).astype(np.int64)
+
+
+def exchanged(sent: DataFrame, n_blocks: int, routes: int, inner: int, combine, merge, answer, kinds: tuple[str, str], name: str) -> DataFrame:
+    """What the shards make (by ``merge``, a group of rows by shard) of rows that blocks sent to their routes.
+
+    With one shard a route, rows go there. With more, rows in number of blocks times shards would grow with the square of the input;
+    so the rows of one route and of so many blocks as hold about one block's keys are combined (``combine(rows, route)``) into one row for each inner
+    shard, and the shard's answers, if there are any, are taken apart again for the blocks (``answer(rows, answers, route)``).
+    Rows have shard, block and more (kinds[0]); answers have block, shard and more (kinds[1]).
+    """
+    if inner == 1:
+        return sent.groupBy("shard").applyInArrow(merge, kinds[1])
+    buckets = max(1, -(-n_blocks // routes))
+    rows = materialise(sent.withColumn("place", F.col("shard").cast("long") * buckets + F.pmod(F.xxhash64("block"), F.lit(buckets))), name)
+
+    def gather(part: pa.Table) -> pa.Table:
+        out = combine(part, part["shard"][0].as_py())
+        at = out.schema.get_field_index("block")
+        return out.set_column(at, "block", pa.array([part["place"][0].as_py()] * out.num_rows, pa.int64()))
+
+    found = rows.groupBy("place").applyInArrow(gather, kinds[0]).groupBy("shard").applyInArrow(merge, kinds[1])
+    if answer is None:
+        return found
+    found = materialise(found, name)
+
+    def take_apart(part: pa.Table, answers: pa.Table) -> pa.Table:
+        return answer(part, answers.sort_by("shard"), part["shard"][0].as_py())
+
+    return rows.groupBy("place").cogroup(found.groupBy("block")).applyInArrow(take_apart, kinds[1])
 
 
 def pack(x: np.ndarray, delta: bool = False) -> bytes:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyscribe.llm.common import NULL_ID, discard, materialise, pack, shards_for, table, unpack, unused
+from polyscribe.llm.common import NULL_ID, cuts, discard, exchanged, materialise, pack, shards_for, table, unpack, unused
 from polyscribe.llm.components import components
 
 EDITS, MIN_CHARS = 2, 25
@@ -294,10 +294,21 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
     from polyscribe.llm.kernels import column_bytes, pieces
 
     entries = (edits + 1) * (edits + 1) * (edits + 2) / 2
-    shards = shards_for(n_lines * entries, 2_000_000)
-    part = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("lines", pa.binary()), ("kinds", pa.binary())])
+    routes, inner = shards_for(n_lines * entries, 2_000_000)
+    part = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("lines", pa.binary()), ("kinds", pa.binary())])
+
+    def cut_up(keys, who, kind, block, first, cut) -> pa.RecordBatch:
+        out = {n: [] for n in part.names}
+        for s, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+            if a < b:
+                for n, v in zip(part.names, (first + s, block, pack(keys[a:b], True), pack(who[a:b]), np.packbits(kind[a:b]).tobytes()), strict=True):
+                    out[n].append(v)
+        return pa.RecordBatch.from_pydict(out, part)
 
     def send(batches):
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() * 2**32
         for batch in batches:
             raw, offsets = column_bytes(batch.column(0))
             for i, j in pieces(offsets, 3_000_000):
@@ -315,18 +326,13 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
                 keys, who, kind = (np.concatenate(c) for c in zip(*found, strict=True))
                 order = np.argsort(keys, kind="stable")
                 keys, who, kind = keys[order], who[order], kind[order]
-                cut = np.concatenate([[0], np.searchsorted(keys, np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)), [len(keys)]])
-                out = {n: [] for n in part.names}
-                for s in range(shards):
-                    a, b = cut[s], cut[s + 1]
-                    if a < b:
-                        for n, v in zip(part.names, (s, pack(keys[a:b], True), pack(who[a:b]), np.packbits(kind[a:b]).tobytes()), strict=True):
-                            out[n].append(v)
-                yield pa.RecordBatch.from_pydict(out, part)
+                yield cut_up(keys, who, kind, block, 0, cuts(keys, routes, 64))
+                block += 1
 
     parts = pa.schema([("key", pa.int64()), ("probe", pa.bool_()), ("at", pa.int32()), ("n_index", pa.int32()), ("n_probe", pa.int32()), ("lines", pa.list_(pa.int64()))])
 
-    def meet(rows: pa.Table) -> pa.Table:
+    def entries_of(rows: pa.Table):
+        """Keys, lines and kinds of the rows' entries in order, each entry once; an index entry comes before the same line's probe and stands for it."""
         keys = [unpack(x.as_py(), np.uint64, True) for x in rows["keys"]]
         kind = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(k)) for x, k in zip(rows["kinds"], keys, strict=True)]).astype(bool)
         keys, line = np.concatenate(keys), np.concatenate([unpack(x.as_py(), np.uint64) for x in rows["lines"]])
@@ -334,7 +340,14 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
         keys, line, kind = keys[order], line[order], kind[order]
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (line[1:] != line[:-1])
-        keys, line, kind = keys[new], line[new], kind[new]  # an index entry comes before the same line's probe
+        return keys[new], line[new], kind[new]
+
+    def combine(rows: pa.Table, route: int) -> pa.Table:
+        keys, line, kind = entries_of(rows)
+        return pa.Table.from_batches([cut_up(keys, line, kind, 0, route * inner, cuts(keys, inner, 64, route * inner, routes * inner))])
+
+    def meet(rows: pa.Table) -> pa.Table:
+        keys, line, kind = entries_of(rows)
         edge = np.ones(len(keys), bool)
         edge[1:] = keys[1:] != keys[:-1]
         begin = np.flatnonzero(edge)
@@ -352,8 +365,10 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
                         out[name].append(v)
         return pa.Table.from_pydict(out, schema=parts)
 
-    sent = docs.select(F.col(text_col).cast("string")).mapInArrow(send, "shard int, keys binary, lines binary, kinds binary")
-    return sent.groupBy("shard").applyInArrow(meet, "key long, probe boolean, at int, n_index int, n_probe int, lines array<long>")
+    kinds = ("shard int, block long, keys binary, lines binary, kinds binary", "key long, probe boolean, at int, n_index int, n_probe int, lines array<long>")
+    sent = docs.select(F.col(text_col).cast("string")).mapInArrow(send, kinds[0])
+    # about as many blocks as pieces of text
+    return exchanged(sent, max(1, n_lines // 50_000), routes, inner, combine, meet, None, kinds, "line-sent")
 
 
 def pair_tasks(parts: DataFrame) -> DataFrame:

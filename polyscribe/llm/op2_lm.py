@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyscribe.llm.common import blocks, discard, forget_shuffles, id_array, materialise, open_block, pack, shards_for, table, unpack
+from polyscribe.llm.common import blocks, cuts, discard, exchanged, forget_shuffles, id_array, materialise, open_block, pack, shards_for, table, unpack
 from polyscribe.llm.kernels import row_of, shingle_hashes, word_hashes, word_spans
 
 ALPHA, ORDER = 0.4, 3
@@ -49,12 +49,10 @@ class _Grams:
         return place, keys[place] >> np.uint64(64 - self.bits)
 
 
-def _cuts(keys: np.ndarray, shards: int, bits: int) -> np.ndarray:
-    edges = np.array([(s << bits) // shards for s in range(1, shards)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]]).astype(np.int64)
+_KINDS = ("shard int, block long, n long, keys binary, counts binary", "block long, shard int, totals binary")
 
 
-def count_tables(held: DataFrame, order: int, bits: int, shards: int) -> DataFrame:
+def count_tables(held: DataFrame, order: int, bits: int, routes: int, inner: int, n_blocks: int) -> DataFrame:
     """(block, shard, totals): what the count table of each order's hash shard has for the block's own n-grams, in key order."""
 
     def send(batches):
@@ -63,26 +61,42 @@ def count_tables(held: DataFrame, order: int, bits: int, shards: int) -> DataFra
                 g = _Grams(row, bits)
                 for n in range(1, order + 1):
                     keys, counts = np.unique(g.order(n)[1], return_counts=True)
-                    cut = _cuts(keys, shards, bits)
-                    out = {x: [] for x in _PART.names}
-                    for s in range(shards):
-                        i, j = cut[s], cut[s + 1]
-                        if i < j:
-                            for k, v in zip(_PART.names, ((n - 1) * shards + s, row["block"], j - i, pack(keys[i:j], True), pack(counts[i:j].astype(np.uint32))), strict=True):
-                                out[k].append(v)
-                    yield pa.RecordBatch.from_pydict(out, _PART)
+                    yield cut_up(keys, counts, row["block"], (n - 1) * routes, cuts(keys, routes, bits))
 
-    def merge(part: pa.Table) -> pa.Table:
+    def cut_up(keys, counts, block, first, at) -> pa.RecordBatch:
+        out = {x: [] for x in _PART.names}
+        for s, (i, j) in enumerate(zip(at[:-1], at[1:], strict=True)):
+            if i < j:
+                for k, v in zip(_PART.names, (first + s, block, j - i, pack(keys[i:j], True), pack(counts[i:j].astype(np.uint64))), strict=True):
+                    out[k].append(v)
+        return pa.RecordBatch.from_pydict(out, _PART)
+
+    def opened(part):
         keys = np.concatenate([unpack(x.as_py(), np.uint64, True) for x in part["keys"]])
-        counts = np.concatenate([unpack(x.as_py(), np.uint32) for x in part["counts"]])
-        distinct, back = np.unique(keys, return_inverse=True)
-        del keys
-        totals = np.bincount(back, counts, minlength=len(distinct)).astype(np.uint64)[back]
+        return np.unique(keys, return_inverse=True)
+
+    def summed(part):
+        distinct, back = opened(part)
+        counts = np.concatenate([unpack(x.as_py(), np.uint64) for x in part["counts"]])
+        return distinct, back, np.bincount(back, counts, minlength=len(distinct)).astype(np.uint64)
+
+    def told(part, totals) -> pa.Table:
         at = np.cumsum(part["n"].to_numpy())[:-1]
         return pa.table([part["block"], part["shard"], pa.array([pack(x) for x in np.split(totals, at)], pa.binary())], schema=_BACK)
 
-    sent = held.mapInArrow(send, "shard int, block long, n long, keys binary, counts binary")
-    return sent.groupBy("shard").applyInArrow(merge, "block long, shard int, totals binary")
+    def merge(part: pa.Table) -> pa.Table:
+        _, back, totals = summed(part)
+        return told(part, totals[back])
+
+    def combine(part: pa.Table, route: int) -> pa.Table:
+        distinct, _, totals = summed(part)
+        return pa.Table.from_batches([cut_up(distinct, totals, 0, route * inner, cuts(distinct, inner, bits, route % routes * inner, routes * inner))])
+
+    def answer(part: pa.Table, answers: pa.Table, route: int) -> pa.Table:
+        return told(part, np.concatenate([unpack(x.as_py(), np.uint64) for x in answers["totals"]])[opened(part)[1]])
+
+    sent = held.mapInArrow(send, _KINDS[0])
+    return exchanged(sent, n_blocks, routes, inner, combine, merge, answer, _KINDS, "lm-sent")
 
 
 def _elsewhere(g: _Grams, n: int, answers: dict, shards: int) -> np.ndarray:
@@ -92,7 +106,7 @@ def _elsewhere(g: _Grams, n: int, answers: dict, shards: int) -> np.ndarray:
     if not len(place):
         return out
     distinct, back = np.unique(keys, return_inverse=True)
-    cut = _cuts(distinct, shards, g.bits)
+    cut = cuts(distinct, shards, g.bits)
     totals = np.concatenate([unpack(answers[(n - 1) * shards + s], np.uint64) for s in range(shards) if cut[s] < cut[s + 1]])
     _, where, own = np.unique(g.owner[place] * len(distinct) + back, return_inverse=True, return_counts=True)
     out[place] = totals[back].astype(np.int64) - own[where]
@@ -105,10 +119,11 @@ FIELDS = [("doc_id", pa.int64()), ("n_words", pa.int64()), *((x, pa.int64()) for
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA) -> DataFrame:
     """Per document: doc_id, n_words, how many words each order scored and how many were unseen, the sum and mean of log10 scores."""
     held = materialise(blocks(docs, id_col, text_col, 8_000_000), "lm-blocks")
-    total = held.agg(F.sum("n_words")).first()[0] or 0
+    total, n_blocks = held.agg(F.sum("n_words"), F.count("*")).first()
+    total = total or 0
     bits = min(64, max(32, int(total * ORDER).bit_length() + 27))
-    shards = max(24, shards_for(total, 4_000_000))
-    answers = materialise(count_tables(held, ORDER, bits, shards), "lm-counts")
+    shards, inner = shards_for(max(total, 24 * 4_000_000), 4_000_000)
+    answers = materialise(count_tables(held, ORDER, bits, shards, inner, n_blocks), "lm-counts")
     forget_shuffles(docs.sparkSession)  # the packed n-grams, the largest data on disk, are answered
     listed = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "totals")).alias("answers"))
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyscribe.llm.common import blocks, discard, id_array, materialise, open_block, pack, pack_bits, shards_for, table, unpack, unpack_bits
+from polyscribe.llm.common import blocks, cuts, discard, exchanged, id_array, materialise, open_block, pack, pack_bits, shards_for, table, unpack, unpack_bits
 from polyscribe.llm.kernels import mix, row_of, shingle_hashes, word_hashes, word_spans
 
 N_WORDS = 20
@@ -64,45 +64,69 @@ def _rows(batches):
             yield {x: batch.column(k)[i].as_py() for k, x in enumerate(names)}
 
 
-def _cuts(values: np.ndarray, shards: int, bits: int) -> np.ndarray:
-    """Where sorted ``bits``-bit values change shard; shards are equal slices of the value space."""
-    edges = [(s << bits) // shards for s in range(1, shards)]
-    return np.concatenate([[0], np.searchsorted(values, np.array(edges, np.uint64)), [len(values)]]).astype(np.int64)
-
-
 _PART = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary()), ("d", pa.binary())])
 _PART_SQL = "shard int, block long, n long, a binary, b binary, c binary, d binary"
 _BACK = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("bits", pa.binary())])
 _BACK_SQL = "block long, shard int, bits binary"
 
 
-def repeated_bits(held: DataFrame, n: int, bits: int, shards: int) -> DataFrame:
+def _told(part: pa.Table, bits: np.ndarray) -> pa.Table:
+    """One answer a row: its own stretch of the bits."""
+    at = np.cumsum(part["n"].to_numpy())[:-1]
+    return pa.table([part["block"], part["shard"], pa.array([pack_bits(x) for x in np.split(bits, at)], pa.binary())], schema=_BACK)
+
+
+def _cut_up(block: int, first: int, at: np.ndarray, pack_row) -> pa.RecordBatch:
+    """A row for each stretch that holds anything; ``pack_row(i, j)`` gives its four values."""
+    out = {x: [] for x in _PART.names}
+    for s, (i, j) in enumerate(zip(at[:-1], at[1:], strict=True)):
+        if i < j:
+            for k, v in zip(_PART.names, (first + s, block, j - i, *pack_row(i, j)), strict=True):
+                out[k].append(v)
+    return pa.RecordBatch.from_pydict(out, _PART)
+
+
+def _stretches(answers: pa.Table, at: np.ndarray) -> np.ndarray:
+    """The bits of answers, which are in the order of the stretches that hold anything."""
+    sizes = np.diff(at)
+    told = [unpack_bits(x.as_py(), n) for x, n in zip(answers["bits"], sizes[sizes > 0], strict=True)]
+    return np.concatenate(told)
+
+
+def repeated_bits(held: DataFrame, n: int, bits: int, routes: int, inner: int, n_blocks: int) -> DataFrame:
     """(block, shard, bits): for each sketch row's slice of a block, which of its counters reached two in the merged sketch."""
 
+    def slices(u, more, block, first, at):
+        return _cut_up(block, first, at, lambda i, j: (pack(u[i:j], True), pack_bits(more[i:j]), b"", b""))
+
     def send(batches):
         for row in _rows(batches):
             w = _Windows(row, n)
             for r in range(DEPTH):
                 u, counts = np.unique(w.counters(r, bits), return_counts=True)
-                cut = _cuts(u, shards, bits)
-                out = {x: [] for x in _PART.names}
-                for s in range(shards):
-                    i, j = cut[s], cut[s + 1]
-                    if i < j:
-                        for k, v in zip(_PART.names, (r * shards + s, row["block"], j - i, pack(u[i:j], True), pack_bits(counts[i:j] > 1), b"", b""), strict=True):
-                            out[k].append(v)
-                yield pa.RecordBatch.from_pydict(out, _PART)
+                yield slices(u, counts > 1, row["block"], r * routes, cuts(u, routes, bits))
 
-    def merge(part: pa.Table) -> pa.Table:
-        sizes = part["n"].to_numpy()
+    def summed(part):
         where = np.concatenate([unpack(x.as_py(), np.uint64, True) for x in part["a"]])
-        more = np.concatenate([unpack_bits(x.as_py(), k) for x, k in zip(part["b"], sizes, strict=True)])
+        more = np.concatenate([unpack_bits(x.as_py(), k) for x, k in zip(part["b"], part["n"].to_numpy(), strict=True)])
         u, back = np.unique(where, return_inverse=True)
-        repeated = (np.bincount(back, 1 + more, minlength=len(u)) > 1)[back]
-        at = np.cumsum(sizes)[:-1]
-        return pa.table([part["block"], part["shard"], pa.array([pack_bits(x) for x in np.split(repeated, at)], pa.binary())], schema=_BACK)
+        return u, back, np.bincount(back, 1 + more, minlength=len(u)) > 1
+
+    def merge(part: pa.Table) -> pa.Table:
+        _, back, repeated = summed(part)
+        return _told(part, repeated[back])
+
+    inside = lambda u, route: cuts(u, inner, bits, route % routes * inner, routes * inner)
+
+    def combine(part: pa.Table, route: int) -> pa.Table:
+        u, _, repeated = summed(part)
+        return pa.Table.from_batches([slices(u, repeated, 0, route * inner, inside(u, route))])
 
-    return held.mapInArrow(send, _PART_SQL).groupBy("shard").applyInArrow(merge, _BACK_SQL)
+    def answer(part: pa.Table, answers: pa.Table, route: int) -> pa.Table:
+        u, back, _ = summed(part)
+        return _told(part, _stretches(answers, inside(u, route))[back])
+
+    return exchanged(held.mapInArrow(send, _PART_SQL), n_blocks, routes, inner, combine, merge, answer, (_PART_SQL, _BACK_SQL), "substring-sent")
 
 
 def _answers(answers: list, key: int) -> dict:
@@ -114,7 +138,7 @@ def _estimated(w: _Windows, answers: dict, bits: int, shards: int) -> np.ndarray
     flag = np.ones(len(w.hash), bool)
     for r in range(DEPTH):
         u, back = np.unique(w.counters(r, bits), return_inverse=True)
-        cut = _cuts(u, shards, bits)
+        cut = cuts(u, shards, bits)
         known = [unpack_bits(answers[r * shards + s], cut[s + 1] - cut[s]) for s in range(shards) if cut[s] < cut[s + 1]]
         if known:
             flag &= np.concatenate(known)[back]
@@ -133,37 +157,49 @@ def _candidates(w: _Windows, flag: np.ndarray):
     return h1, h2, doc, pos, place, np.flatnonzero(new)
 
 
-def first_bits(held: DataFrame, n: int, bits: int, sketch_shards: int, shards: int) -> DataFrame:
+def first_bits(held: DataFrame, n: int, bits: int, sketch_shards: int, routes: int, inner: int, n_blocks: int) -> DataFrame:
     """(block, shard, bits): for each distinct estimated window of a block, whether no other block has it earlier."""
 
+    def slices(h1, h2, doc, pos, block, first, at):
+        return _cut_up(block, first, at, lambda i, j: (pack(h1[i:j], True), pack(h2[i:j]), pack(doc[i:j]), pack(pos[i:j])))
+
     def send(batches):
         for row in _rows(batches):
             w = _Windows(row, n)
             h1, h2, doc, pos, _, new = _candidates(w, _estimated(w, _answers(row["answers"], 1), bits, sketch_shards))
-            h1, h2, doc, pos = h1[new], h2[new], doc[new], pos[new]
-            cut = _cuts(h1, shards, 64)
-            out = {x: [] for x in _PART.names}
-            for s in range(shards):
-                i, j = cut[s], cut[s + 1]
-                if i < j:
-                    for k, v in zip(_PART.names, (s, row["block"], j - i, pack(h1[i:j], True), pack(h2[i:j]), pack(doc[i:j]), pack(pos[i:j])), strict=True):
-                        out[k].append(v)
-            yield pa.RecordBatch.from_pydict(out, _PART)
+            yield slices(h1[new], h2[new], doc[new], pos[new], row["block"], 0, cuts(h1[new], routes, 64))
 
-    def merge(part: pa.Table) -> pa.Table:
+    def ordered(part):
+        """The rows' entries in the order (hash, second hash, doc_id, position), that order, and each one's window's number and first entry."""
         join = lambda x, kind, delta=False: np.concatenate([unpack(v.as_py(), kind, delta) for v in part[x]])
         h1, h2, doc, pos = join("a", np.uint64, True), join("b", np.uint32), join("c", np.int64), join("d", np.uint32)
         order = np.lexsort((pos, doc, h2, h1))
         h1, h2, doc, pos = h1[order], h2[order], doc[order], pos[order]
         new = np.ones(len(h1), bool)
         new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-        first = np.empty(len(h1), bool)
-        first[order] = (doc == doc[lead]) & (pos == pos[lead])
-        at = np.cumsum(part["n"].to_numpy())[:-1]
-        return pa.table([part["block"], part["shard"], pa.array([pack_bits(x) for x in np.split(first, at)], pa.binary())], schema=_BACK)
+        return h1, h2, doc, pos, order, np.flatnonzero(new), np.cumsum(new) - 1
+
+    def firsts(part, wins=None) -> pa.Table:
+        """Which entries are their window's first here, and where ``wins`` is given (by window) elsewhere too."""
+        _, _, doc, pos, order, begin, number = ordered(part)
+        lead = begin[number]
+        first = np.empty(len(doc), bool)
+        first[order] = (doc == doc[lead]) & (pos == pos[lead]) & (wins[number] if wins is not None else True)
+        return _told(part, first)
+
+    def merge(part: pa.Table) -> pa.Table:
+        return firsts(part)
+
+    def combine(part: pa.Table, route: int) -> pa.Table:
+        h1, h2, doc, pos, _, begin, _ = ordered(part)
+        h1 = h1[begin]
+        return pa.Table.from_batches([slices(h1, h2[begin], doc[begin], pos[begin], 0, route * inner, cuts(h1, inner, 64, route * inner, routes * inner))])
+
+    def answer(part: pa.Table, answers: pa.Table, route: int) -> pa.Table:
+        h1, _, _, _, _, begin, _ = ordered(part)
+        return firsts(part, _stretches(answers, cuts(h1[begin], inner, 64, route * inner, routes * inner)))
 
-    return held.mapInArrow(send, _PART_SQL).groupBy("shard").applyInArrow(merge, _BACK_SQL)
+    return exchanged(held.mapInArrow(send, _PART_SQL), n_blocks, routes, inner, combine, merge, answer, (_PART_SQL, _BACK_SQL), "substring-windows")
 
 
 def _with_answers(held: DataFrame, answers: DataFrame) -> DataFrame:
@@ -175,19 +211,20 @@ def _with_answers(held: DataFrame, answers: DataFrame) -> DataFrame:
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = N_WORDS, with_text: bool = False) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept (the remaining words)."""
     held = materialise(blocks(docs, id_col, text_col, 4_000_000), "substring-blocks")
-    total = held.agg(F.sum("n_words")).first()[0] or 0
+    total, n_blocks = held.agg(F.sum("n_words"), F.count("*")).first()
+    total = total or 0
     bits = max(12, (LOAD * total - 1).bit_length()) if total else 12
-    sketch_shards = shards_for(total, 4_000_000)
-    repeated = materialise(repeated_bits(held, n, bits, sketch_shards).withColumn("kind", F.lit(1)), "substring-repeated")
-    shards = shards_for(total / 2, 2_000_000)
-    first = materialise(first_bits(_with_answers(held, repeated), n, bits, sketch_shards, shards).withColumn("kind", F.lit(2)), "substring-first")
+    sketch_shards, inner = shards_for(total, 4_000_000)
+    repeated = materialise(repeated_bits(held, n, bits, sketch_shards, inner, n_blocks).withColumn("kind", F.lit(1)), "substring-repeated")
+    shards, inner = shards_for(total / 2, 2_000_000)
+    first = materialise(first_bits(_with_answers(held, repeated), n, bits, sketch_shards, shards, inner, n_blocks).withColumn("kind", F.lit(2)), "substring-first")
     fields = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), *([("kept", pa.string())] if with_text else [])]
 
     def finish(batches):
         for row in _rows(batches):
             w = _Windows(row, n)
             h1, _, doc, pos, place, new = _candidates(w, _estimated(w, _answers(row["answers"], 1), bits, sketch_shards))
-            known, cut = _answers(row["answers"], 2), _cuts(h1[new], shards, 64)
+            known, cut = _answers(row["answers"], 2), cuts(h1[new], shards, 64)
             told = [unpack_bits(known[s], cut[s + 1] - cut[s]) for s in range(shards) if cut[s] < cut[s + 1]]
             edge = np.zeros(len(w.h) + 1, np.int64)
             if told:

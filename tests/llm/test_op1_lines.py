@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from polyscribe.llm import common
 from polyscribe.llm import op1_lines as op
 from polyscribe.llm.op1_lines import banded_many, line_dedup, op1_lines, within
 from tests.llm.helpers import edge_rows, prose, table
@@ -95,6 +96,11 @@ def test_templates_in_chunks(spark, monkeypatch):
     check(spark, [(d, line) for d, line in enumerate(template(150))])
 
 
+def test_more_shards_than_routes(spark, monkeypatch):
+    monkeypatch.setattr(common, "FAN_OUT", 3)
+    check(spark, [(d, "\n".join([line, prose(d % 9, 9), prose(70 + d, 8)])) for d, line in enumerate(template(60))])
+
+
 def test_many_lines_that_share_a_segment(spark):
     """20,000 template lines: 2e8 pairs under one key, in tasks of two chunks."""
     lines = template(20_000)

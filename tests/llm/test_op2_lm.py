@@ -1,6 +1,7 @@
 from collections import Counter
 from math import isclose, log10
 
+from polyscribe.llm import common
 from polyscribe.llm.op2_lm import SQL, lm_scores, op2_lm
 from tests.llm.helpers import edge_rows, prose, table, words
 from tests.oracle import compare
@@ -30,6 +31,15 @@ def brute(rows):
     return out
 
 
+def test_more_shards_than_routes(spark, monkeypatch):
+    """Blocks and shards that meet in a middle step give the same scores."""
+    rows = [(i, prose(i % 7, 60, 40) + " " + prose(i, 30, 30)) for i in range(25)] + [(90, "lonely"), (91, "")]
+    one = sorted(tuple(r) for r in lm_scores(table(spark, rows)).collect())
+    monkeypatch.setattr(common, "FAN_OUT", 3)
+    assert common.shards_for(96_000_000, 4_000_000) == (3, 8)
+    assert sorted(tuple(r) for r in lm_scores(table(spark, rows, 6)).collect()) == one
+
+
 def test_brute_force(spark):
     rows = [(i, prose(i % 7, 60, 40) + " " + prose(i, 30, 30)) for i in range(25)] + [(90, "lonely"), (91, "")]
     got = {r["doc_id"]: r for r in lm_scores(table(spark, rows)).collect()}

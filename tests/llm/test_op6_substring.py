@@ -1,5 +1,6 @@
 import hashlib
 
+from polyscribe.llm import common
 from polyscribe.llm.op6_substring import SQL, op6_substring, substring_dedup
 from tests.llm.helpers import edge_rows, prose, table, words
 from tests.oracle import compare
@@ -33,6 +34,12 @@ def test_brute_force(spark):
     check(spark, [(i, " ".join("ab"[(i * j) % 3 % 2] for j in range(40))) for i in range(30)], 5)
 
 
+def test_more_shards_than_routes(spark, monkeypatch):
+    monkeypatch.setattr(common, "FAN_OUT", 3)
+    shared = [prose(900 + i, 55) for i in range(6)]
+    check(spark, [(i, f"{prose(i, 30)} {shared[i % 6]} {prose(50 + i, 10)} {shared[i % 4] if i % 3 else ''} {prose(i, 12)}") for i in range(60)])
+
+
 def test_repeats_inside_a_document_and_ties(spark):
     part = prose(1, 30)
     check(spark, [(1, f"{part} {part} {part}"), (0, part), (5, "x " * 100)])
