@@ -4,7 +4,8 @@ Statistics of each whole text (byte classes, word and line shape, repetition) ar
 all documents and sent through random Fourier features, which approximate a Gaussian kernel. Every
 partition sums its part of the normal equations of each fold, the parts are added in a two-level tree, and the driver
 solves one small system. Calibration is isotonic over out-of-fold raw scores, by a histogram that
-covers every training row.
+covers every training row. A score is 0.995 of the calibrated value and 0.005 of a logistic curve of the raw one, which keeps
+the raw order within the flat steps of the calibration.
 
 Inputs of a score are the text alone; labels, lang, source and ids never enter. Learning uses the
 labelled rows whose crc32(doc_id) mod 4 is not ``held_out_fold``, all of them.
@@ -196,7 +197,9 @@ def fit(stats: DataFrame, labels: DataFrame, label_col: str = "quality", held_ou
                 fold = batch.column(batch.schema.get_field_index("fold")).to_numpy(zero_copy_only=False)
                 y = batch.column(batch.schema.get_field_index("y")).to_numpy(zero_copy_only=False)
                 z = _lift(_matrix(batch), model)
-                raw = np.array([z[i] @ betas[int(f)] for i, f in enumerate(fold)])
+                raw = np.empty(len(z))
+                for f in np.unique(fold):
+                    raw[fold == f] = z[fold == f] @ betas[int(f)]
                 at = np.clip(((raw + 0.5) / 2 * bins).astype(int), 0, bins - 1)
                 for c, v in enumerate((raw, y, np.ones_like(y))):
                     total[:, c] += np.bincount(at, v, minlength=bins)

@@ -1,13 +1,13 @@
 """Mixing sources to target weights with hash-threshold histograms (native: DataFrame functions only).
 
-Every document has a fixed 60-bit hash of its id. A source's mix takes every document ``full``
+Every document has a fixed 60-bit hash of its id and text. A source's mix takes every document ``full``
 times and those under a hash threshold once more. The threshold comes from nested histograms:
 sums of sizes by source and the next 12 bits, of which only the bucket that holds the budget's
 boundary is looked into further, so nothing is ever sorted by hash.
 
 Defined cases. Null text: size 0. Null source: a source of its own, ranked last; the empty
-string is another source. Rows with equal ids share a hash and are taken or left together. A null id
-hashes as the empty string. An empty table gives an empty result. Other columns are ignored.
+string is another source. Rows with equal ids and texts share a hash and are taken or left together. A null id
+or text hashes as the empty string. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -56,7 +56,7 @@ def mix_sources(
             F.col(id_col).alias("doc_id"),
             F.col(source_col).alias("src"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, HASH_BITS // 4), 16, 10).cast("long").alias("h"),
+            F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("/"), F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))), 1, HASH_BITS // 4), 16, 10).cast("long").alias("h"),
         ),
         "mix-sizes",
     )
@@ -95,7 +95,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+         CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/' || md5(coalesce(text, ''))), 1, 15) AS BIGINT) AS h
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
