@@ -362,12 +362,12 @@ def cascade_greek(spark, d):
 _GREEK_CLASS = "Ͱ-Ͽἀ-῿"
 
 
-@query(_sql(f"""SELECT word, len(regexp_replace(word, '[^{_GREEK_CLASS}]', '', 'g')) AS greek_letters, coalesce(len(regexp_replace(s, '[^{_GREEK_CLASS}]', '', 'g')) / nullif(len(s), 0), 0.0) > 0.7 AS is_greek, regexp_matches(left(word, 1), '[Α-Ω]') AS capital, list_filter(string_split(word, ''), lambda c: c = 'ς') AS sigmas
+@query(_sql(f"""SELECT word, len(regexp_replace(word, '[^{_GREEK_CLASS}]', '', 'g')) AS greek_letters, coalesce(len(regexp_replace(s, '[^{_GREEK_CLASS}]', '', 'g')) / nullif(len(s), 0), 0.0) > 0.7 AS is_greek, regexp_matches(left(word, 1), '[Α-Ω]') AS capital, len(word) - len(replace(word, 'ς', '')) AS sigmas
 FROM (SELECT word, regexp_replace(word, '[!-/:-@\\[-`{{-~—·0-9]', '', 'g') AS s FROM (SELECT DISTINCT text AS word FROM w))""", _GW))
 def greek_classes(spark, d):
     words = materialise(_in_greek(_words(spark, d)).select(F.col("text").alias("word")).distinct(), "raw-words")
     letters = F.char_length(F.regexp_replace("word", f"[^{C.GREEK}]", ""))
-    return words.select("word", letters.cast("long").alias("greek_letters"), C.is_greek_string("word").alias("is_greek"), C.is_greek_capital(F.substring("word", 1, 1)).alias("capital"), F.transform(T.find_occurrences("word", "ς"), lambda _: F.lit("ς")).alias("sigmas"))
+    return words.select("word", letters.cast("long").alias("greek_letters"), C.is_greek_string("word").alias("is_greek"), C.is_greek_capital(F.substring("word", 1, 1)).alias("capital"), F.size(T.find_occurrences("word", "ς")).cast("long").alias("sigmas"))
 
 
 _HYPHENED = f"""{_WRAP}, {_V_OF}, {_X}, {_RULES},{_CASCADE_OF}"""
