@@ -516,5 +516,40 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_lines, n_removed, the removed lines' numbers and their first documents as comma-separated lists, digest of what is kept."""
     out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), short=True)
-    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed", "first_docs", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+    listed = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    return out.select("doc_id", F.col("n_lines"), F.size("removed").cast("long").alias("n_removed"), listed("removed"), listed("first_docs"), F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
+# DuckDB's levenshtein counts bytes: each accented letter of the lines becomes one control character first. Of three segments of a line
+# one is unedited, so that pairs without it need no comparison.
+SQL = r"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS t, CAST(unnest(range(0, len(string_split(text, chr(10))))) AS INTEGER) AS line FROM documents WHERE coalesce(text, '') <> ''
+), c AS (
+  SELECT * FROM l WHERE len(t) >= 25 OR regexp_matches(t, '[^\x20\x09-\x0D]')
+), a AS (
+  SELECT string_agg(x, '' ORDER BY x) AS letters FROM (SELECT DISTINCT unnest(regexp_extract_all(t, '[^\x00-\x7F]')) AS x FROM c)
+), u AS MATERIALIZED (
+  SELECT t, len(t) AS n, translate(t, letters, (SELECT string_agg(chr(CAST(k AS INTEGER)), '' ORDER BY k) FROM (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 31, 127]) AS k))) AS x FROM (SELECT DISTINCT t FROM c), a
+), links AS MATERIALIZED (
+  SELECT s.t AS a, b.t AS b FROM (SELECT *, unnest([0, 1, 2]) AS d, least(2, n * 2 // 25) AS k, n // 3 AS n3 FROM u) AS s JOIN u AS b ON b.n = s.n + d WHERE d <= k AND k > 0 AND (d > 0 OR s.t < b.t) AND (starts_with(b.x, left(s.x, n3)) OR ends_with(b.x, right(s.x, s.n - 2 * n3)) OR contains(b.x, substr(s.x, n3 + 1, n3))) AND levenshtein(s.x, b.x) <= k
+), e AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+r(node, low) AS (
+  SELECT DISTINCT a, a FROM e
+  UNION
+  SELECT e.b, r.low FROM r JOIN e ON r.node = e.a WHERE r.low < e.b
+), g AS (SELECT node, min(low) AS low FROM r GROUP BY node),
+k AS (
+  SELECT c.*, coalesce(g.low, c.t) AS class FROM c LEFT JOIN g ON g.node = c.t
+), f AS (
+  SELECT class, min({d: doc_id, l: line}) AS first FROM k GROUP BY class
+), x AS (
+  SELECT doc_id, list(line ORDER BY line) AS removed, list(first.d ORDER BY line) AS firsts FROM (SELECT DISTINCT doc_id, line, first FROM k JOIN f USING (class) WHERE {d: doc_id, l: line} > first) GROUP BY doc_id
+)
+SELECT documents.doc_id, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines, coalesce(len(removed), 0) AS n_removed,
+       array_to_string(coalesce(removed, []), ',') AS removed, array_to_string(coalesce(firsts, []), ',') AS first_docs,
+       sha256(CASE WHEN removed IS NULL THEN coalesce(text, '') ELSE array_to_string(list_filter(string_split(text, chr(10)), lambda s, i: NOT list_contains(removed, i - 1)), chr(10)) END) AS kept_sha256
+FROM documents LEFT JOIN x ON documents.doc_id = x.doc_id
+"""

@@ -17,6 +17,7 @@ QUERIES = {
     "op10_quality": op10_quality.op10_quality,
 }
 SQL = {
+    "op1_lines": op1_lines.SQL,
     "op2_lm": op2_lm.SQL,
     "op5_mixing": op5_mixing.SQL,
     "op6_substring": op6_substring.SQL,

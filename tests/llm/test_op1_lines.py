@@ -11,6 +11,7 @@ from polyscribe.llm import common
 from polyscribe.llm import op1_lines as op
 from polyscribe.llm.op1_lines import banded_many, line_dedup, op1_lines, within
 from tests.llm.helpers import edge_rows, prose, table
+from tests.oracle import compare
 
 
 def distance(a, b):
@@ -197,4 +198,8 @@ def test_short_lines(spark):
 def test_query_removes_repeated_short_lines(spark, tmp_path):
     table(spark, [(1, "And ornd.\n\n" + prose(1, 9)), (2, "And ornd.\n\n" + prose(2, 9))]).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r["doc_id"]: (r["removed"], r["first_docs"]) for r in op1_lines(spark, str(tmp_path)).collect()}
-    assert got == {1: ([], []), 2: ([0], [1])}
+    assert got == {1: ("", ""), 2: ("0", "1")}
+
+
+def test_sql(spark, data):
+    compare(op1_lines(spark, data), op.SQL, data)
