@@ -44,7 +44,6 @@ class Lines:
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray):
         from polyscribe.llm.kernels import _BASE as base
-        from polyscribe.llm.kernels import mix
 
         self.points = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
         lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
@@ -64,14 +63,15 @@ class Lines:
         self.number = np.arange(len(self.doc)) - np.repeat(lead_at, np.diff(np.append(lead_at, len(self.doc))))
         ink = np.concatenate([[0], np.cumsum((self.points != 32) & ((self.points < 9) | (self.points > 13)))])
         self.blank = ink[self.stops] == ink[self.starts]
-        self.values = mix(self.points.astype(np.uint64) + np.uint64(1))
         self.prefix = self._prefix(base)
 
     def _prefix(self, base: int) -> np.ndarray:
-        from polyscribe.llm.kernels import powers
+        from polyscribe.llm.kernels import mix, powers
 
         out = np.zeros(len(self.points) + 1, np.uint64)
-        np.cumsum(self.values * powers(base, len(self.points)), out=out[1:])
+        values = mix(self.points.astype(np.uint64) + np.uint64(1))
+        values *= powers(base, len(self.points))
+        np.cumsum(values, out=out[1:])
         return out
 
     def _span(self, prefix: np.ndarray, inverse: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -294,7 +294,7 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
     from polyscribe.llm.kernels import column_bytes, pieces
 
     entries = (edits + 1) * (edits + 1) * (edits + 2) / 2
-    routes, inner = shards_for(n_lines * entries, 2_000_000)
+    routes, inner = shards_for(n_lines * entries, 1_000_000)
     part = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("lines", pa.binary()), ("kinds", pa.binary())])
 
     def cut_up(keys, who, kind, block, first, cut) -> pa.RecordBatch:
@@ -311,7 +311,7 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
         block = TaskContext.get().partitionId() * 2**32
         for batch in batches:
             raw, offsets = column_bytes(batch.column(0))
-            for i, j in pieces(offsets, 3_000_000):
+            for i, j in pieces(offsets, 2_000_000):
                 x = Lines(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 use = np.flatnonzero(counted(x, min_chars, short))
                 h, first = np.unique(x.hashes()[use], return_index=True)
