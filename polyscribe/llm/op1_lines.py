@@ -311,7 +311,7 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
         block = TaskContext.get().partitionId() * 2**32
         for batch in batches:
             raw, offsets = column_bytes(batch.column(0))
-            for i, j in pieces(offsets, 2_000_000):
+            for i, j in pieces(offsets, 1_000_000):
                 x = Lines(raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 use = np.flatnonzero(counted(x, min_chars, short))
                 h, first = np.unique(x.hashes()[use], return_index=True)
@@ -368,7 +368,7 @@ def meetings(docs: DataFrame, text_col: str, edits: int, min_chars: int, n_lines
     kinds = ("shard int, block long, keys binary, lines binary, kinds binary", "key long, probe boolean, at int, n_index int, n_probe int, lines array<long>")
     sent = docs.select(F.col(text_col).cast("string")).mapInArrow(send, kinds[0])
     # about as many blocks as pieces of text
-    return exchanged(sent, max(1, n_lines // 50_000), routes, inner, combine, meet, None, kinds, "line-sent")
+    return exchanged(sent, max(1, n_lines // 20_000), routes, inner, combine, meet, None, kinds, "line-sent")
 
 
 def pair_tasks(parts: DataFrame) -> DataFrame:
