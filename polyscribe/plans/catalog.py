@@ -674,3 +674,6 @@ FROM (SELECT page_id, url AS u, replace(replace(replace(coalesce(url, ''), '&',
 def metadata_records(spark, d):
     items = _table(spark, d, "pages").select(F.col("url").alias("htid"), (F.col("page_id") % 7).alias("enumcron"), F.concat(F.lit("page "), F.col("page_id").cast("string")).alias("title"), F.lit(None).alias("creator"), F.lit(None).alias("publisher"))
     return M.metadata_xml(items)
+
+
+from polyscribe.plans import catalog_files  # noqa: E402, F401  (adds its queries to the tables above)
