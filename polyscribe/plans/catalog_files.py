@@ -20,7 +20,7 @@ from polyscribe.plans import cascade as K
 from polyscribe.plans import catalog as Q
 from polyscribe.plans import reports as P
 from polyscribe.plans.catalog import query
-from polyscribe.runtime import scratch_dir
+from polyscribe.runtime import materialise, scratch_dir
 from polyscribe.sources import files as SRC
 from polyscribe.sources import sinks as SNK
 
@@ -174,11 +174,13 @@ def accent_index_file(spark, d):
     return SRC.read_accent_index(spark, path)
 
 
-@query(Q._sql("SELECT word, output, CAST(n AS VARCHAR) AS frequency, mode FROM done WHERE mode <> 'False' AND NOT starts_with(word, '#') AND NOT contains(word || output, '€')", Q._CASCADE))
+@query(Q._sql(f"SELECT word, CASE mode WHEN 'TrueLower' THEN key ELSE '' END AS output, CAST(n AS VARCHAR) AS frequency, mode FROM (SELECT word, n, {Q._key('word')} AS key, CASE WHEN word {Q._IN} THEN 'True' WHEN {Q._key('word')} {Q._IN} THEN 'TrueLower' ELSE 'False' END AS mode FROM v) WHERE mode <> 'False' AND NOT starts_with(word, '#') AND NOT contains(word, '€')", Q._V, Q._X))
 def correction_table(spark, d):
-    """The cascade's outcome written as a correction table and read back: comments and open words are left out."""
-    path = _place(spark, "corrections")
-    SNK.write_corrections(Q._corrected(spark, d), path)
+    """The words' modes by dictionary written as a correction table and read back: comments and open words are left out."""
+    path, lexicon = _place(spark, "corrections"), Q._lexicon(spark, d)
+    found = J.in_lexicon(J.in_lexicon(Q._vocabulary(spark, d), lexicon, F.col("word"), "_e"), lexicon, T.lower_key("word"), "_l")
+    mode = F.when(F.col("_e"), "True").when(F.col("_l"), "TrueLower").otherwise("False")
+    SNK.write_corrections(found.select("word", F.when(mode == "TrueLower", T.lower_key("word")).alias("output"), "n", mode.alias("mode")), path)
     return SRC.read_corrections(spark, path)
 
 
@@ -186,7 +188,7 @@ def correction_table(spark, d):
 SELECT printf('known: %.2f %% of words, %.2f %% of characters', 100.0::DOUBLE * (sum(n) FILTER (mode <> 'False'))::DOUBLE / sum(n)::DOUBLE, 100.0::DOUBLE * (sum(b) FILTER (mode <> 'False'))::DOUBLE / sum(b)::DOUBLE) FROM ms""",
 Q._CASCADE, "ms AS (SELECT mode, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * len(word)) AS BIGINT) AS b FROM done GROUP BY mode)"))
 def run_statistics(spark, d):
-    modes = K.mode_summary(Q._corrected(spark, d))
+    modes = materialise(K.mode_summary(Q._corrected(spark, d)), "modes")
     return SNK.statistics_lines(modes, K.totals(modes)).select(F.col("value").alias("line"))
 
 

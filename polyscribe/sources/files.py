@@ -23,10 +23,13 @@ SEPARATOR = "€"
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """(path, ord, line) of text files, in file order."""
-    whole = spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    lined = whole.select("path", F.posexplode(F.split("value", "\n", -1)).alias("ord", "line"), F.size(F.split("value", "\n", -1)).alias("_n"))
-    return lined.filter(~((F.col("ord") == F.col("_n") - 1) & (F.col("line") == ""))).select("path", "ord", F.regexp_replace("line", "\r$", "").alias("line"))
+    """(path, ord, line) of text files, in file order; a line feed at the end of a file begins no line.
+
+    A file is split once: nothing but its lines leaves the generator.
+    """
+    whole = spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value").filter("value != ''")
+    lined = whole.select("path", F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n", -1)).alias("ord", "line"))
+    return lined.select("path", "ord", F.regexp_replace("line", "\r$", "").alias("line"))
 
 
 def read_dictionary(spark: SparkSession, path: str, ligatures: bool = False) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from polyscribe.runtime import discard, materialise
 from polyscribe.sources.files import SEPARATOR
 
 
@@ -13,9 +14,14 @@ def _write_text(df: DataFrame, path: str) -> None:
 
 
 def write_corrections(corrections: DataFrame, path: str) -> None:
-    """``word€output€count€mode`` lines, by count from the highest, then by word."""
-    ordered = corrections.orderBy(F.desc("n"), "word")
+    """``word€output€count€mode`` lines, by count from the highest, then by word.
+
+    Ordering reads its rows twice, first for the ranges, so they are written before.
+    """
+    held = materialise(corrections.select("word", "output", "n", "mode"), "corrections")
+    ordered = held.orderBy(F.desc("n"), "word")
     _write_text(ordered.select(F.concat_ws(SEPARATOR, "word", F.coalesce("output", F.lit("")), F.col("n").cast("string"), "mode").alias("value")), path)
+    discard(held)
 
 
 def statistics_lines(modes: DataFrame, totals: DataFrame) -> DataFrame:
