@@ -137,3 +137,12 @@ def test_streaming(spark, tmp_path):
         query.awaitTermination(60)
     assert values(spark.read.parquet(str(target)).groupBy("page_id").count()) == [("a", 3), ("b", 3)]
     assert W.with_text(spark.read.parquet(str(target))).count() == 4
+
+
+def test_lines_of_files_end_with_feeds_or_not(spark, tmp_path):
+    for name, text in {"a": "x\ny\n", "b": "x\n\n", "c": "\n", "d": "", "e": "x\r\ny", "f": "\n\nz"}.items():
+        (tmp_path / name).write_bytes(text.encode())
+    lines = {}
+    for r in files.read_lines(spark, str(tmp_path)).orderBy("path", "ord").collect():
+        lines.setdefault(r["path"][-1], []).append(r["line"])
+    assert lines == {"a": ["x", "y"], "b": ["x", ""], "c": [""], "e": ["x", "y"], "f": ["", "", "z"]}
