@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from math import pi
+from math import cos, pi, sin
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from polyscribe.functions import geometry as G
 from polyscribe.functions.chars import GREEK, script_share
@@ -174,28 +177,61 @@ def merge_boxes(components: DataFrame, gap: int, line: tuple[str, ...] = ("page_
 def nearest_classes(rows: DataFrame, samples: DataFrame, features: list[str], k: int = 3, most_samples: int = 10_000, slack: float = 1.2) -> DataFrame:
     """rows with ``nearest`` (distance to the closest sample) and ``label``: the commonest of the k nearest samples', null if too far.
 
-    ``samples`` has sample_id, label and the features, and no more than ``most_samples`` rows, so that it can go to every task as one value.
-    Too far is over ``slack`` times the largest distance from a sample to the sample nearest to it. Ties: the smaller sample_id, the smaller label.
+    ``samples`` has sample_id, label and the features, and no more than ``most_samples`` rows, so that it can go to every task as one value;
+    those that lack a feature are left out. Too far is over ``slack`` times the largest distance from a sample to the sample nearest to it.
+    Ties: the smaller sample_id, the smaller label. Distances are taken in Arrow batches, some 60,000 at a time.
     """
     held = samples.select("sample_id", "label", *[F.col(c).cast("double").alias(c) for c in features]).limit(most_samples + 1).collect()
     if len(held) > most_samples:
         raise ValueError(f"more than {most_samples} samples")
-    spark = rows.sparkSession
-    kind = "sample_id long, label string, " + ", ".join(f"{c} double" for c in features)
-    table = spark.createDataFrame([(r[0], str(r[1]), *r[2:]) for r in held], kind)
-    one = table.agg(F.collect_list(F.struct(*table.columns)).alias("_samples"))
-
-    def distances(values: list[Column], skip: Column | None = None) -> Column:
-        every = F.transform("_samples", lambda s: F.struct(F.sqrt(sum(((s[c] - v) * (s[c] - v) for c, v in zip(features, values, strict=True)), F.lit(0.0))).alias("d"), s["sample_id"].alias("id"), s["label"].alias("label")))
-        return F.array_sort(every if skip is None else F.filter(every, lambda x: x["id"] != skip))
-
-    own = table.join(F.broadcast(one)).select(F.get(distances([F.col(c) for c in features], F.col("sample_id")), F.lit(0))["d"].alias("d"))
-    limit = own.agg(F.max("d")).first()[0]
-    near = F.slice(distances([F.col(c).cast("double") for c in features]), 1, k)
-    asked = rows.join(F.broadcast(one)).withColumn("_near", near)
-    votes = F.transform(F.array_distinct(F.transform("_near", lambda x: x["label"])), lambda label: F.struct((-F.size(F.filter("_near", lambda x: x["label"] == label))).alias("n"), label.alias("label")))
-    nearest = F.get("_near", F.lit(0))["d"]
-    return asked.select(*rows.columns, nearest.alias("nearest"), F.when(nearest <= (slack * limit if limit is not None else float("inf")), F.array_min(votes)["label"]).alias("label"))
+    held = sorted((r for r in held if None not in r[2:]), key=lambda r: r[0])
+    points = np.array([r[2:] for r in held], dtype=float).reshape(-1, len(features))
+    labels = sorted({str(r[1]) for r in held})
+    codes = np.array([labels.index(str(r[1])) for r in held], dtype=np.int64)
+    own = [_squares(points[i : i + 1], points) for i in range(len(points) if len(points) > 1 else 0)]
+    for i, d in enumerate(own):
+        d[0, i] = np.inf
+    limit = slack * np.sqrt(max(d.min() for d in own)) if own else np.inf
+    least = min(k, len(held))
+
+    def classified(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        d = np.sqrt(_squares(values, points))
+        near = np.empty((len(values), least), dtype=np.int64)
+        each = np.arange(len(values))
+        for j in range(least):
+            near[:, j] = d.argmin(axis=1)  # the first of equals: samples are in order of their ids
+            if j == 0:
+                nearest = d[each, near[:, 0]]
+            d[each, near[:, j]] = np.inf
+        of = codes[near]
+        votes = (of[:, :, None] == of[:, None, :]).sum(axis=2) * (len(labels) + 1) - of
+        return nearest, of[each, votes.argmax(axis=1)]
+
+    def classify(batches):
+        names = np.array(labels, dtype=object)
+        step = max(1, 60_000 // max(1, len(held)))
+        for batch in batches:
+            n = batch.num_rows
+            kept, wanted = batch.columns[: -len(features)], batch.columns[-len(features) :]
+            lacking = np.logical_or.reduce([c.is_null().to_numpy(zero_copy_only=False) for c in wanted]) | (not held)
+            values = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in wanted], axis=1)
+            nearest, label = np.zeros(n), np.zeros(n, dtype=np.int64)
+            for i in range(0, n if held else 0, step):
+                nearest[i : i + step], label[i : i + step] = classified(values[i : i + step])
+            text = names[label] if held else np.full(n, None, dtype=object)
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(nearest, mask=lacking), pa.array(text, pa.string(), mask=lacking | ~(nearest <= limit))], names=[*batch.schema.names[: -len(features)], "nearest", "label"])
+
+    asked = rows.select(*rows.columns, *[F.col(c).cast("double").alias(f"_feature{i}") for i, c in enumerate(features)])
+    return asked.mapInArrow(classify, StructType([*rows.schema.fields, StructField("nearest", DoubleType()), StructField("label", StringType())]))
+
+
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances between the rows of a and those of b, feature after feature."""
+    out = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        d = b[:, j] - a[:, j, None]
+        out += d * d
+    return out
 
 
 def contiguous_run(rows: DataFrame, group: list[str], order: list[str], ok: Column) -> DataFrame:
@@ -228,20 +264,56 @@ def footnote_regions(components: DataFrame, region: Column, centre: Column) -> D
     return after_first(components, ["page_id"], ["y0", "x0"], inside & straddles, "footnote")
 
 
-def line_votes(points: DataFrame, angles: int = 40, radius_step: int = 4, spread: float = 0.2) -> DataFrame:
+#: Cells of a page's accumulator, over a few for each vote, up to which it is held as a table, else as a sorted list of its cells.
+TABLE_CELLS = 100_000
+
+
+def _peaks(x: np.ndarray, y: np.ndarray, turns: list[tuple[float, float]], step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """radius_no, angle_no and votes of the cells that none of their four neighbours has more votes than."""
+    radius = np.stack([np.floor((x * c + y * s) / step).astype(np.int64) for c, s in turns])
+    low, wide, high = radius.min(), len(turns) + 2, int(radius.max() - radius.min()) + 3
+    keys = ((radius - low + 1) * wide + np.arange(1, len(turns) + 1)[:, None]).ravel()
+    if wide * high <= TABLE_CELLS + 16 * len(keys):
+        table = np.bincount(keys, minlength=wide * high).reshape(high, wide)
+        inner = table[1:-1, 1:-1]
+        near = np.maximum(np.maximum(table[:-2, 1:-1], table[2:, 1:-1]), np.maximum(table[1:-1, :-2], table[1:-1, 2:]))
+        r, a = np.nonzero((inner > 0) & (inner >= near))
+        return r + low, a, inner[r, a]
+    cells, votes = np.unique(keys, return_counts=True)
+    near = np.zeros(len(cells), dtype=votes.dtype)
+    for shift in (1, -1, wide, -wide):
+        at = np.minimum(np.searchsorted(cells, cells + shift), len(cells) - 1)
+        near = np.maximum(near, np.where(cells[at] == cells + shift, votes[at], 0))
+    top = votes >= near
+    return cells[top] // wide - 1 + low, cells[top] % wide - 1, votes[top]
+
+
+def line_votes(points: DataFrame, angles: int = 40, radius_step: int = 4, spread: float = 0.2, count: int | None = None, apart: int = 10) -> DataFrame:
     """(page_id, radius_no, angle_no, votes): straight lines near the vertical through points (page_id, x, y), as local maxima of an accumulator.
 
-    Each point votes once an angle; votes are counted with map-side combine, and a cell stays if none of its four
-    neighbours has more.
+    Each point votes once an angle, and a cell stays if none of its four neighbours has more. Points are gathered by page, and a page's
+    accumulator lives in one task: votes are never rows. With ``count``, only what ``best_lines`` would take is returned, with its rank.
     """
-    angle = (F.col("angle_no") - (angles - 1) / 2.0) / angles * spread * pi
-    cast = points.select("page_id", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(angles - 1))).alias("angle_no"))
-    radius = F.floor((F.col("x") * F.cos(angle) + F.col("y") * F.sin(angle)) / radius_step).cast("int")
-    votes = cast.groupBy("page_id", radius.alias("radius_no"), "angle_no").agg(F.count("*").alias("votes"))
-    steps = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(a).alias("a")) for r, a in ((0, 1), (0, -1), (1, 0), (-1, 0))])
-    beside = votes.select("page_id", F.explode(steps).alias("s"), "radius_no", "angle_no", "votes").select("page_id", (F.col("radius_no") + F.col("s.r")).alias("radius_no"), (F.col("angle_no") + F.col("s.a")).alias("angle_no"), "votes")
-    high = beside.groupBy("page_id", "radius_no", "angle_no").agg(F.max("votes").alias("_near"))
-    return votes.join(high, ["page_id", "radius_no", "angle_no"], "left").filter(F.col("votes") >= F.coalesce("_near", F.lit(0))).drop("_near")
+    turn = [(a - (angles - 1) / 2.0) / angles * spread * pi for a in range(angles)]
+    turns = [(cos(t), sin(t)) for t in turn]
+    schema = StructType([StructField("page_id", points.schema["page_id"].dataType), *([StructField("rank", IntegerType())] if count else []), StructField("radius_no", IntegerType()), StructField("angle_no", IntegerType()), StructField("votes", LongType())])
+
+    def vote(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                r, a, n = _peaks(batch.column(1)[i].values.to_numpy(zero_copy_only=False), batch.column(2)[i].values.to_numpy(zero_copy_only=False), turns, radius_step)
+                columns = []
+                if count:
+                    order, taken = np.lexsort((a, r, -n)), []
+                    while len(order) and len(taken) < count:
+                        taken.append(order[0])
+                        order = order[np.abs(r[order] - r[order[0]]) >= apart]
+                    r, a, n = r[taken], a[taken], n[taken]
+                    columns = [pa.array(np.arange(len(taken)), pa.int32())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.full(len(r), i))), *columns, pa.array(r, pa.int32()), pa.array(a, pa.int32()), pa.array(n, pa.int64())], names=schema.names)
+
+    placed = points.filter("x IS NOT NULL AND y IS NOT NULL").select("page_id", *[F.col(c).cast("double").alias(c) for c in "xy"])
+    return placed.groupBy("page_id").agg(F.collect_list("x").alias("x"), F.collect_list("y").alias("y")).mapInArrow(vote, schema)
 
 
 def best_lines(votes: DataFrame, count: int = 2, apart: int = 10) -> DataFrame:
