@@ -11,15 +11,31 @@ from pyspark.sql import functions as F
 ORDER = ("line_no", "word_no")
 
 
-def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """page_id, line_no (from 0), line: what stands between line feeds. Null texts have no lines."""
-    return docs.select(F.col(id_col).alias("page_id"), F.posexplode(F.split(text_col, "\n", -1)).alias("line_no", "line"))
+def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """page_id, line_no (from 0), line, and columns to keep: what stands between line feeds. Null texts have no lines."""
+    return docs.select(F.col(id_col).alias("page_id"), *keep, F.posexplode(F.split(text_col, "\n", -1)).alias("line_no", "line"))
 
 
-def text_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """page_id, line_no, ws: the blank-separated tokens of each line, in one row."""
+    return text_lines(docs, id_col, text_col, keep).select("page_id", *keep, "line_no", F.array_remove(F.split("line", r"\s+", -1), "").alias("ws"))
+
+
+#: Bytes of files for each partition of pages that are dealt out: some hundred thousand words, which a task sorts in memory.
+DEALT_BYTES = 3_000_000
+
+
+def dealt(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """docs dealt out by page, into partitions of a bounded size. Windows, groups and joins by page on what is made of them need no
+    further shuffle: texts are moved once, in place of their words, which take many times as much."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(max(tasks, min(100_000, -(-size // DEALT_BYTES))), id_col)
+
+
+def text_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """page_id, line_no, word_no (in its line, from 0), text: blank-separated tokens."""
-    tokens = F.filter(F.split("line", r"\s+", -1), lambda t: t != "")
-    return text_lines(docs, id_col, text_col).select("page_id", "line_no", F.posexplode(tokens).alias("word_no", "text"))
+    return line_words(docs, id_col, text_col, keep).select("page_id", *keep, "line_no", F.posexplode("ws").alias("word_no", "text"))
 
 
 def with_boxes(words: DataFrame) -> DataFrame:
@@ -61,6 +77,12 @@ def line_ends(words: DataFrame) -> DataFrame:
     return ends.select("page_id", "line_no", F.col("a.text").alias("first_word"), F.col("z.text").alias("last_word"), "n_words")
 
 
+def list_ends(lines: DataFrame) -> DataFrame:
+    """What ``line_ends`` returns, of lines with their words in one row (``line_words``); nothing is moved or sorted."""
+    some = lines.filter(F.size("ws") > 0)
+    return some.select("page_id", "line_no", F.element_at("ws", 1).alias("first_word"), F.element_at("ws", -1).alias("last_word"), F.size("ws").cast("long").alias("n_words"))
+
+
 def neighbours(words: DataFrame, order: tuple[str, ...] = ORDER, column: str = "text") -> DataFrame:
     """Words with the previous and next text of their page; page ends have null on one side."""
     w = Window.partitionBy("page_id").orderBy(*order)

@@ -1,11 +1,19 @@
 """Steps whose rows or shuffles once grew beyond their input: the same results, and plans without what made them grow."""
 
 import random
+import re
 from math import cos, floor, pi, sin
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
+from polyscribe.functions import tokens as T
 from polyscribe.operators import layout as L
+from polyscribe.operators import lookup as J
+from polyscribe.plans import cascade as K
+from polyscribe.plans import catalog
+from polyscribe.sources import hocr as H
 from tests.conftest import values
 
 
@@ -58,3 +66,51 @@ def test_both_forms_of_an_accumulator_agree():
         assert sorted(zip(*map(list, L._peaks(x, y, turns, 4)), strict=True)) == table
     finally:
         L.TABLE_CELLS = held
+
+
+@pytest.mark.parametrize("name", ["dehyph_pairs", "hyphen_rules", "triplet_retention", "space_share", "title_bands", "page_words", "page_clean_up"])
+def test_pages_are_dealt_out_once_and_words_never(spark, data, name):
+    shuffles = re.findall(r"Exchange hashpartitioning\(.*", plan(catalog.QUERIES[name](spark, data)))
+    assert shuffles and all("REPARTITION_BY_NUM" in x for x in shuffles)
+
+
+@pytest.mark.parametrize("name", ["line_first_last", "greek_tokens", "line_chunks"])
+def test_queries_of_lines_move_nothing(spark, data, name):
+    text = plan(catalog.QUERIES[name](spark, data))
+    assert "Exchange" not in text and "Sort" not in text
+
+
+def test_spaces_and_title_bands_read_their_words_once(spark, data):
+    assert "Union" not in plan(catalog.QUERIES["space_share"](spark, data)) and "Union" not in plan(catalog.QUERIES["title_bands"](spark, data))
+
+
+def test_labels_meet_documents_and_a_small_lexicon_the_words(spark, data):
+    text = plan(catalog.QUERIES["page_accuracy"](spark, data))
+    assert "values-" not in text and len(re.findall(r"Exchange hashpartitioning", text)) == 1
+    words = spark.createDataFrame([(t,) for t in ("Abc", "abc", "xyz", "(abc)", None)], "text string")
+    wanted = [(None, False, False), ("Abc", False, True), ("abc", True, True), ("(abc)", False, True), ("xyz", False, False)]
+    assert values(J.in_lexicon_by_case(words, J.make_lexicon(spark.createDataFrame([("abc",)], "word string"))), "text", "_e", "_l") == sorted(wanted, key=repr)
+    large = J.make_lexicon(spark.createDataFrame([("abc",)], "word string"))
+    J.sized(large, rows=0)
+    assert values(J.in_lexicon_by_case(words, large), "text", "_e", "_l") == sorted(wanted, key=repr)
+
+
+def test_windows_are_counted_as_they_are_made(spark):
+    lines = spark.createDataFrame([([],), (["a"],), (["a", "b", "c"],), (list("abcdef"),)], "ws array<string>")
+    assert lines.select(T.window_count("ws", 3).alias("n"), F.size(T.windows("ws", 3)).alias("m")).filter("n != m").count() == 0
+
+
+def test_several_pages_are_parsed_into_one_batch(spark):
+    markup = '<p class="ocr_page" title="x"><span class="ocr_line"><span class="ocrx_word" title="bbox 1 2 3 4" data-manually-confirmed="true">w</span></span></p>'
+    pages = spark.createDataFrame([(str(i), markup if i % 3 else "") for i in range(9)], "page_id string, markup string").coalesce(1)
+    got = H.parse_words(pages).select("page_id", "line_no", "text", "bbox.x1", "manually_confirmed", "selected_form", F.spark_partition_id())
+    assert values(got) == [(str(i), 0, "w", 3, "true", None, 0) if i % 3 else (str(i), None, None, None, None, None, 0) for i in range(9)]
+
+
+def test_a_key_is_asked_for_once_and_found_in_every_way(spark):
+    lexicon = J.make_lexicon(spark.createDataFrame([("abc",), ("déf",)], "word string"))
+    table = J.sized(K.lookup_table(lexicon, J.make_accent_index(lexicon)))
+    asked = spark.createDataFrame([(w, "", w) for w in ("abc", "Abc", "(abc", "def", "déf", "xyz")], "word string, slot string, text string")
+    got = values(K._probe(asked, table), "word", "way", "value")
+    assert got == sorted([("abc", "exact", "abc"), ("abc", "lower", "abc"), ("abc", "bare", "abc"), ("Abc", "lower", "abc"), ("(abc", "lower", "abc"), ("def", "bare", "déf"), ("déf", "exact", "déf"), ("déf", "lower", "déf"), ("déf", "bare", "déf")], key=repr)
+    assert table.count() == 3
