@@ -99,13 +99,15 @@ def _well_formed(markup: str) -> tuple[list[dict], str | None]:
     number: dict = {}
     word, word_depth, text = None, 0, []
 
+    kinds: dict = {}
+
     def start(_tag, a):
         nonlocal depth, line, line_title, page_title, word, word_depth
         depth += 1
         kind = a.get("class")
         if kind is None:
             return
-        kind = kind.split()
+        kind = kinds.get(kind) or kinds.setdefault(kind, kind.split())
         if PAGE_CLASS in kind and page_title is None:
             page_title = a.get("title")
         elif LINE_CLASS in kind:
@@ -115,9 +117,10 @@ def _well_formed(markup: str) -> tuple[list[dict], str | None]:
             here = line if lines else None
             k = number[here] = number.get(here, -1) + 1
             word, word_depth = {"line_no": here, "line_title": line_title if lines else None, "word_no": k, "class": name, "id": a.get("id"), "title": a.get("title")}, depth
-            for field, attribute in ATTRIBUTES.items():
-                if attribute in a:
-                    word[field] = a[attribute]
+            if len(a) > 1 + ("id" in a) + ("title" in a):
+                for field, attribute in ATTRIBUTES.items():
+                    if attribute in a:
+                        word[field] = a[attribute]
 
     def end(_tag):
         nonlocal depth, word
@@ -151,7 +154,9 @@ def parse_page(markup: str, strict: bool = False) -> tuple[list[dict], str | Non
     try:
         words, page_title = _well_formed(markup)
         if words or strict:
-            return [w | {"page_title": page_title} for w in words], None
+            for w in words:
+                w["page_title"] = page_title
+            return words, None
     except ExpatError as e:
         if strict:
             return [], str(e)
@@ -178,15 +183,25 @@ def parse_words(pages: DataFrame, strict: bool = False, id_col: str = "page_id",
     """Word rows of pages. A page without words has one row with nothing but page_id (and error, if strict reading refused it)."""
     schema = pa.schema([(name, pa.int32() if kind == "int" else pa.string()) for name, kind in (x.split() for x in SCHEMA.split(", "))])
 
+    def rows(words):
+        # a field that no word has costs nothing
+        some = set().union(*words)
+        return pa.RecordBatch.from_arrays([pa.array([w.get(f.name) for w in words], f.type) if f.name in some else pa.nulls(len(words), f.type) for f in schema], schema=schema)
+
     def parse(batches):
+        held = []
         for batch in batches:
-            for page, markup in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words, error = parse_page(markup or "", strict)
-                columns = [pa.array([w.get(f.name) for w in words] or [None], f.type) for f in schema]
-                columns[schema.get_field_index("page_id")] = pa.array([page] * max(1, len(words)), pa.string())
-                if error:
-                    columns[schema.get_field_index("error")] = pa.array([error], pa.string())
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            for i in range(batch.num_rows):
+                page = batch.column(0)[i].as_py()
+                words, error = parse_page(batch.column(1)[i].as_py() or "", strict)
+                for w in words:
+                    w["page_id"] = page
+                held += words or [{"page_id": page, "error": error}]
+                if len(held) >= 10_000:
+                    yield rows(held)
+                    held = []
+        if held:
+            yield rows(held)
 
     flat = pages.select(F.col(id_col).cast("string"), F.col(markup_col).cast("string")).mapInArrow(parse, SCHEMA)
     return flat.withColumns({"hyphen_position": F.col("hyphen_position").try_cast("int"), "bbox": G.title_bbox("title"), "line_bbox": G.title_bbox("line_title"), "page_bbox": G.title_bbox("page_title"), "confs": G.confidences("title")})
