@@ -12,18 +12,27 @@ def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _once(value: Column, then) -> Column:
+    """then(value), with the value computed once however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _items(x: Column) -> Column:
+    """What stands between blanks. Java compiles a pattern anew for each string that it splits, but not a single character."""
+    return F.split(F.when(x.rlike(r"[\t\n\x0B\f\r]|  "), F.regexp_replace(x, r"\s+", " ")).otherwise(x), " ", -1)
+
+
 def title_bbox(title: Column | str) -> Column:
     """The box in whichever part of a title names one; null without."""
-    title = _col(title)
-    pattern = r"(?:^|;)\s*bbox\s+(-?\d+)\s+(-?\d+)\s+(-?\d+)\s+(-?\d+)"
-    return F.when(title.rlike(pattern), F.struct(*[F.regexp_extract(title, pattern, i + 1).cast("int").alias(c) for i, c in enumerate(CORNERS)]))
+    # one match gives all four numbers
+    found = F.regexp_extract(_col(title), r"(?:^|;)\s*bbox\s+(-?\d+\s+-?\d+\s+-?\d+\s+-?\d+)", 1)
+    return _once(_items(found), lambda x: F.when(F.size(x) == 4, F.struct(*[F.get(x, F.lit(i)).cast("int").alias(c) for i, c in enumerate(CORNERS)])))
 
 
 def strict_bbox(title: Column | str) -> Column:
     """The box of a title that is nothing else: exactly five items, the first ``bbox``; null for any other title."""
-    items = F.split(F.trim(_col(title)), r"\s+")
-    numbers = [F.try_element_at(items, F.lit(i + 2)).try_cast("int").alias(c) for i, c in enumerate(CORNERS)]
-    return F.when((F.size(items) == 5) & (items[0] == "bbox"), F.struct(*numbers))
+    numbers = lambda x: F.struct(*[F.get(x, F.lit(i + 1)).try_cast("int").alias(c) for i, c in enumerate(CORNERS)])
+    return _once(_items(F.trim(_col(title))), lambda x: F.when((F.size(x) == 5) & (F.get(x, F.lit(0)) == "bbox"), numbers(x)))
 
 
 def with_bbox(title: Column | str, box: Column) -> Column:
@@ -35,15 +44,15 @@ def with_bbox(title: Column | str, box: Column) -> Column:
 
 def title_number(title: Column | str, position: int) -> Column:
     """The integer at a position of a blank-separated title, -1 if there is none."""
-    return F.coalesce(F.get(F.split(_col(title), r"\s+"), F.lit(position)).try_cast("int"), F.lit(-1))
+    return F.coalesce(F.get(_items(_col(title)), F.lit(position)).try_cast("int"), F.lit(-1))
 
 
 def confidences(title: Column | str) -> Column:
     """The floats in the second part of a title, after its label; null if that part is missing or malformed."""
     part = F.get(F.split(_col(title), ";"), F.lit(1))
-    items = F.split(part, " ")
-    values = F.transform(F.slice(items, F.lit(3), F.greatest(F.size(items) - 2, F.lit(0))), lambda v: v.try_cast("double"))
-    return F.when(F.size(items) > 2, F.when(~F.exists(values, lambda v: v.isNull()), values))
+    numbers = lambda items: F.transform(F.slice(items, F.lit(3), F.size(items) - 2), lambda v: v.try_cast("double"))
+    whole = lambda items: _once(numbers(items), lambda values: F.when(~F.exists(values, lambda v: v.isNull()), values))
+    return _once(F.split(part, " "), lambda items: F.when(F.size(items) > 2, whole(items)))
 
 
 def area(box: Column) -> Column:
