@@ -19,7 +19,7 @@ def share_spaces(words: DataFrame) -> DataFrame:
     """Each space between two words gives a third of the gap, 5 at most, to the word before and, 7 at most, to the one after, and goes.
 
     Where no space has a space beside it, one window a line does it. Lines with runs of spaces are folded from left to
-    right, as later spaces see what earlier ones changed.
+    right, as later spaces see what earlier ones changed: the first word of such a line brings all of its words.
     """
     line = Window.partitionBy("page_id", "line_no").orderBy("word_no")
     space = F.col("text") == " "
@@ -32,16 +32,19 @@ def share_spaces(words: DataFrame) -> DataFrame:
     x1 = F.when(F.col("_n") & F.col("_r2").isNotNull(), F.col("bbox.x1") + F.least(third(F.col("bbox.x1"), F.col("_r2.x0")), F.lit(5))).otherwise(F.col("bbox.x1"))
     x0 = F.when(F.col("_p") & F.col("_l2").isNotNull(), F.col("bbox.x0") - F.least(third(F.col("_l2.x1"), F.col("bbox.x0")), F.lit(7))).otherwise(F.col("bbox.x0"))
     box = F.struct(x0.cast("int").alias("x0"), F.col("bbox.y0").alias("y0"), x1.cast("int").alias("x1"), F.col("bbox.y1").alias("y1"))
-    extra = ["_space", "_run", "_runs", "_p", "_n", "_l", "_r", "_l2", "_r2"]
-    simple = w.filter(~F.col("_runs") & ~F.col("_space")).withColumn("bbox", box).drop(*extra)
-    folded = w.filter(F.col("_runs")).drop(*extra)
-    return simple.unionByName(_fold_spaces(folded))
+    columns = [c for c in words.columns if c not in ("page_id", "line_no")]
+    order = ["word_no", *[c for c in columns if c != "word_no"]]
+    whole = Window.partitionBy("page_id", "line_no").orderBy("word_no").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = w.withColumn("_w", F.collect_list(F.when(F.col("_runs"), F.struct(*order))).over(whole)).withColumn("_first", F.row_number().over(line))
+    # the box is the one that a line without runs takes; one struct a word, so that a single pass serves both kinds of lines
+    own = F.array(F.struct(*[(box if c == "bbox" else F.col(c)).alias(c) for c in order]))
+    out = w.select("page_id", "line_no", F.when(~F.col("_runs"), F.when(~F.col("_space"), own)).when(F.col("_first") == 1, _folded(F.col("_w"))).alias("_out"))
+    return out.select("page_id", "line_no", F.explode("_out").alias("_x")).select(*[F.col(c) if c in ("page_id", "line_no") else F.col(f"_x.{c}").alias(c) for c in words.columns])
 
 
-def _fold_spaces(words: DataFrame) -> DataFrame:
-    columns = [c for c in words.columns if c not in ("page_id", "line_no")]
-    lined = words.groupBy("page_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("word_no", *[c for c in columns if c != "word_no"]))).alias("_w"))
-    n = F.size("_w")
+def _folded(line: Column) -> Column:
+    """The words of a line (in order) once all of its spaces are shared out, one after the other, and gone."""
+    n = F.size(line)
 
     def step(done, i):
         here = F.get(done, i)
@@ -53,9 +56,8 @@ def _fold_spaces(words: DataFrame) -> DataFrame:
         changed = F.transform(done, lambda x, k: F.when(k == i - 1, left(x)).when(k == i + 1, right(x)).otherwise(x))
         return F.when(F.coalesce(acts, F.lit(False)), changed).otherwise(done)
 
-    folded = F.aggregate(F.sequence(F.lit(0), n - 1), F.col("_w"), step)
-    kept = F.filter(folded, lambda x: F.coalesce(x["text"] != " ", F.lit(True)))
-    return lined.select("page_id", "line_no", F.explode(kept).alias("_x")).select("page_id", "line_no", *[F.col(f"_x.{c}").alias(c) for c in columns]).select(*words.columns)
+    folded = F.aggregate(F.sequence(F.lit(0), n - 1), line, step)
+    return F.filter(folded, lambda x: F.coalesce(x["text"] != " ", F.lit(True)))
 
 
 def edge_words_to_borders(words: DataFrame, lines: DataFrame) -> DataFrame:

@@ -130,9 +130,7 @@ round(least(a, b), 2) AS min_confidence, round((a + b) / 2, 2) AS average_confid
 Q._BOXES, "cl AS (SELECT page_id, line_no, 2 * word_no AS word_no, text, x0, x1 FROM x WHERE NOT (word_no % 3 = 1 AND (x1 - x0) * (y1 - y0) > 10000 / 3) UNION ALL SELECT page_id, line_no, 2 * word_no + 1, ' ', x0, x1 FROM x WHERE word_no % 3 = 0)"))
 def page_clean_up(spark, d):
     """The whole clean-up of a line recogniser's page: a space in every third gap, every third word held to the size limit."""
-    words = Q._boxes(spark, d).withColumn("word_no", 2 * F.col("word_no"))
-    spaces = words.filter("word_no % 6 = 0").withColumns({"word_no": F.col("word_no") + 1, "text": F.lit(" ")})
-    every = words.unionByName(spaces).withColumns({"confs": F.array(F.char_length("text") / F.lit(3.0), F.col("word_no") / F.lit(7.0)), "page_title": F.lit("bbox 0 0 9 9; ppageno 1")})
+    every = Q._spaced(Q._boxes(spark, d, Q._dealt_words)).withColumns({"confs": F.array(F.char_length("text") / F.lit(3.0), F.col("word_no") / F.lit(7.0)), "page_title": F.lit("bbox 0 0 9 9; ppageno 1")})
     area = F.when(F.col("word_no") % 6 == 2, 10000).otherwise(10**9)
     cleaned = L.clean_page_words(every, area, F.concat(F.col("page_id").cast("string"), F.lit(".0.png")))
     return cleaned.select("page_id", "line_no", "word_no", "bbox.x0", "bbox.x1", "min_confidence", "average_confidence", "page_title")
