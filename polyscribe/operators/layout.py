@@ -254,9 +254,9 @@ def title_band(components: DataFrame, centre: Column) -> DataFrame:
     seed = components.filter(over).groupBy("page_id").agg(F.min(F.struct("y0", "x0", "w", "h")).alias("_s"))
     joined = components.join(seed, "page_id")
     overlap = (F.col("y0") <= F.col("_s.y0") + F.col("_s.h")) & (F.col("y0") + F.col("h") >= F.col("_s.y0"))
-    right = joined.filter(F.col("x0") >= F.col("_s.x0"))
-    left = joined.filter(F.col("x0") < F.col("_s.x0")).withColumn("_d", -F.col("x0"))
-    return contiguous_run(right, ["page_id"], ["x0", "y0"], overlap).select(*components.columns).unionByName(contiguous_run(left, ["page_id"], ["_d", "y0"], overlap).select(*components.columns))
+    right = F.col("x0") >= F.col("_s.x0")
+    sided = joined.withColumns({"_right": right, "_d": F.when(right, F.col("x0")).otherwise(-F.col("x0"))})
+    return contiguous_run(sided, ["page_id", "_right"], ["_d", "y0"], overlap).select(*components.columns)
 
 
 def footnote_regions(components: DataFrame, region: Column, centre: Column) -> DataFrame:
