@@ -85,7 +85,7 @@ def line_chunks(spark, d):
 
 @query(Q._sql(f"SELECT count(*) AS pairs, count(*) FILTER (rule = 'last') AS by_last, count(*) FILTER (rule = 'before_last') AS by_before_last FROM ({Q._PAIRS})", Q._WRAP))
 def hyphen_rules(spark, d):
-    return D.rule_counts(D.hyphen_pairs(D.wrap(Q._words(spark, d))))
+    return D.rule_counts(D.hyphen_pairs(D.wrap(Q._dealt_words(spark, d)), dealt=True))
 
 
 # --- titles and boxes ------------------------------------------------------------------------------------
