@@ -134,6 +134,11 @@ def windows(x: Column | str, n: int) -> Column:
     return F.when(F.size(x) >= n, F.transform(F.sequence(F.lit(1), F.size(x) - n + 1), lambda i: F.slice(x, i, n))).when(x.isNotNull(), F.array().cast("array<array<string>>"))
 
 
+def window_count(x: Column | str, n: int) -> Column:
+    """How many ``windows`` there are, without making them."""
+    return F.greatest(F.size(_col(x)) - (n - 1), F.lit(0))
+
+
 def halves(x: Column | str) -> Column:
     """The pairs tried when a word may be two: array of struct(a, b), in order, for words of ten or more characters.
 

@@ -78,8 +78,8 @@ def greek_tokens(spark, d):
 FROM (SELECT page_id, line_no, ws, unnest(range(0, CAST(ceil(len(ws) / 7) AS BIGINT))) AS k FROM w_t)""", Q._W))
 def line_chunks(spark, d):
     """Lines in pieces of seven words, and how many windows of three words each has."""
-    lines = W.text_lines(Q._table(spark, d, "documents")).select("page_id", "line_no", F.filter(F.split("line", r"\s+"), lambda t: t != "").alias("ws"))
-    pieces = lines.select("page_id", "line_no", F.size(T.windows("ws", 3)).alias("n_windows"), F.posexplode(T.chunks("ws", 7)).alias("chunk_no", "_p"))
+    lines = W.line_words(Q._table(spark, d, "documents"))
+    pieces = lines.select("page_id", "line_no", T.window_count("ws", 3).alias("n_windows"), F.posexplode(T.chunks("ws", 7)).alias("chunk_no", "_p"))
     return pieces.select("page_id", "line_no", "chunk_no", F.array_join("_p", " ").alias("piece"), "n_windows")
 
 
