@@ -69,9 +69,9 @@ _BARE = "regexp_replace(t, '[!-/:-@\\[-`{-~—·0-9]', '', 'g')"
 FROM (SELECT page_id, line_no, {_HALF_GREEK} AS ws FROM w GROUP BY page_id, line_no)""", Q._W))
 def greek_tokens(spark, d):
     """Lines with every other word in Greek letters, less the words that are not Greek."""
-    text = F.when(F.col("word_no") % 2 == 0, F.translate("text", Q._LETTERS, Q._GREEK)).otherwise(F.col("text"))
-    lines = Q._words(spark, d).groupBy("page_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("word_no", text.alias("t")))).alias("ws"))
-    return lines.select("page_id", "line_no", F.array_join(C.delete_non_greek_tokens(F.transform("ws", lambda x: x["t"])), " ").alias("kept"))
+    mixed = F.transform("ws", lambda t, i: F.when(i % 2 == 0, F.translate(t, Q._LETTERS, Q._GREEK)).otherwise(t))
+    lines = W.line_words(Q._table(spark, d, "documents")).filter(F.size("ws") > 0)
+    return lines.select("page_id", "line_no", F.array_join(C.delete_non_greek_tokens(mixed), " ").alias("kept"))
 
 
 @query(Q._sql("""SELECT page_id, line_no, CAST(k AS INTEGER) AS chunk_no, array_to_string(ws[7 * k + 1 : 7 * k + 7], ' ') AS piece, CAST(greatest(len(ws) - 2, 0) AS INTEGER) AS n_windows
