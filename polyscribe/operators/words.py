@@ -5,8 +5,13 @@ A *words* table has page_id, line_no, word_no (position in its page) and text; m
 
 from __future__ import annotations
 
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 ORDER = ("line_no", "word_no")
 
@@ -111,15 +116,39 @@ def page_title(title: Column, file_name: Column) -> Column:
 def hash_pairs(hashes: DataFrame, id_col: str, hash_col: str, most: int = 11, bits: int = 64) -> DataFrame:
     """(a, b, distance): pairs of ids a < b whose hashes differ in fewer than ``most`` bits.
 
-    Of ``most`` bands of bits at least one is equal; a pair is kept where its first equal band meets, so none comes twice.
+    Of ``most`` + 1 bands of bits at least two are equal, so hashes meet by every two bands; a pair is kept where its first two equal
+    bands meet, so none comes twice. Those that share two bands are compared in numpy, a million comparisons at a time.
     """
-    edges = [round(i * bits / most) for i in range(most + 1)]
-    bands = lambda h: [F.shiftrightunsigned(F.shiftleft(h, 64 - b), 64 - (b - a)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    count = most + 1
+    edges = [round(i * bits / count) for i in range(count + 1)]
+    bands = np.array([((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges[:-1], edges[1:], strict=True)], dtype=np.uint64)
+    both = list(combinations(range(count), 2))
     h = F.col(hash_col)
-    spread = hashes.select(F.col(id_col).alias("id"), h.alias("h"), F.posexplode(F.array(*bands(h))).alias("band", "key"))
-    left, right = spread.select(F.col("id").alias("a"), F.col("h").alias("ha"), "band", "key"), spread.select(F.col("id").alias("b"), F.col("h").alias("hb"), "band", "key")
-    met = left.join(right, ["band", "key"]).filter("a < b")
-    both = F.zip_with(F.array(*bands(F.col("ha"))), F.array(*bands(F.col("hb"))), lambda x, y: x == y)
-    first = F.array_position(both, True) - 1
-    distance = F.bit_count(F.col("ha").bitwiseXOR(F.col("hb")))
-    return met.filter((distance < most) & (first == F.col("band"))).select("a", "b", distance.alias("distance"))
+    keys = F.array(*[h.bitwiseAND(F.lit(int((bands[i] | bands[j]).view(np.int64)))) for i, j in both])
+    spread = hashes.filter(F.col(id_col).isNotNull() & h.isNotNull()).select(F.col(id_col).alias("id"), h.alias("h"), F.posexplode(keys).alias("both", "key"))
+    shared = spread.groupBy("both", "key").agg(F.collect_list(F.struct("id", "h")).alias("_g")).filter(F.size("_g") > 1)
+
+    def meet(batches):
+        for batch in batches:
+            for k, group in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids, held = group.values.field(0), group.values.field(1).to_numpy().view(np.uint64)
+                number = ids.to_numpy(zero_copy_only=False)
+                step = max(1, 1_000_000 // len(held))
+                for start in range(0, len(held), step):
+                    differ = held[start : start + step, None] ^ held[None, start:]
+                    x, y = np.nonzero(np.triu(np.bitwise_count(differ) < most, 1))
+                    equal = (differ[x, y][:, None] & bands) == 0
+                    first = equal.argmax(axis=1)
+                    equal[np.arange(len(x)), first] = False
+                    mine = (first == both[k][0]) & (equal.argmax(axis=1) == both[k][1])
+                    x, y = x[mine], y[mine]
+                    distance = np.bitwise_count(differ[x, y])
+                    x, y = x + start, y + start
+                    turned = number[x] > number[y]
+                    x, y = np.where(turned, y, x), np.where(turned, x, y)
+                    other = number[x] != number[y]
+                    if other.any():
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(x[other])), ids.take(pa.array(y[other])), pa.array(distance[other], pa.int32())], names=["a", "b", "distance"])
+
+    kind = hashes.schema[id_col].dataType
+    return shared.select("both", "_g").mapInArrow(meet, StructType([StructField("a", kind), StructField("b", kind), StructField("distance", IntegerType())]))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from polyscribe.functions import tokens as T
 from polyscribe.operators import layout as L
 from polyscribe.operators import lookup as J
+from polyscribe.operators import words as W
 from polyscribe.plans import cascade as K
 from polyscribe.plans import catalog
 from polyscribe.sources import hocr as H
@@ -114,3 +115,15 @@ def test_a_key_is_asked_for_once_and_found_in_every_way(spark):
     got = values(K._probe(asked, table), "word", "way", "value")
     assert got == sorted([("abc", "exact", "abc"), ("abc", "lower", "abc"), ("abc", "bare", "abc"), ("Abc", "lower", "abc"), ("(abc", "lower", "abc"), ("def", "bare", "déf"), ("déf", "exact", "déf"), ("déf", "lower", "déf"), ("déf", "bare", "déf")], key=repr)
     assert table.count() == 3
+
+
+def test_hash_pairs_equal_brute_force_and_meet_by_two_bands(spark):
+    rng = random.Random(4)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    hashes = [b ^ sum(1 << i for i in rng.sample(range(64), k)) for b in base for k in (0, 0, 3, 5, 6, 10, 11)]
+    rows = [(i, h - (1 << 64) if h >> 63 else h) for i, h in enumerate(hashes)]
+    pairs = W.hash_pairs(spark.createDataFrame([*rows, rows[5], (None, 7), (999, None)], "i int, h long"), "i", "h").distinct()
+    wanted = [(i, j, (hashes[i] ^ hashes[j]).bit_count()) for i in range(len(hashes)) for j in range(i + 1, len(hashes)) if (hashes[i] ^ hashes[j]).bit_count() < 11]
+    assert values(pairs, "a", "b", "distance") == sorted(wanted, key=repr)
+    once = W.hash_pairs(spark.createDataFrame(rows, "i int, h long"), "i", "h")
+    assert once.count() == len(wanted) and "SortMergeJoin" not in plan(once)
