@@ -1,12 +1,16 @@
-"""Fuzzy dictionary matching: a blocked edit-distance join, weighted ranking and the correction query over plain texts.
+"""Fuzzy dictionary matching: edit-distance pairs, weighted ranking and the correction query over plain texts.
 
-Distance at most k: one of k + 1 pieces of the dictionary word stands unedited in the other word, moved by at most k
-characters. Pieces and their possible places are exploded and met by an equi-join on (length, number, piece), candidates
-are made distinct and verified. Dictionary words too short for k + 1 pieces, which are few, meet words of their lengths in blocks.
+A small dictionary goes to the words, and each word is compared with all entries of near lengths at once, an entry's whole
+column of the distance table being one integer. Of a larger one, and for entries beyond 64 characters: at distance at most
+k, one of k + 1 pieces of the dictionary word stands unedited in the other word, moved by at most k characters. Pieces and
+their possible places are exploded and met by an equi-join on (length, number, piece), candidates are made distinct and
+verified. Dictionary words too short for k + 1 pieces, which are few, meet words of their lengths in blocks.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +23,10 @@ from polyscribe.operators.lookup import lower_word, sized
 from polyscribe.runtime import materialise
 
 DISTANCE, MOST_WEIGHT = 3, 9
+#: Entries, and entries times their different characters, up to which a dictionary goes to the words.
+DIRECT_ENTRIES, DIRECT_CELLS = 20_000, 4_000_000
+#: Characters of an entry that fit an integer; comparisons made at once, few enough for the processor's cache; pairs a batch.
+MOST_BITS, AT_ONCE, BATCH_PAIRS = 64, 1 << 16, 100_000
 
 
 def _pieces(word, count: int):
@@ -35,9 +43,101 @@ def _pieces(word, count: int):
 
 def fuzzy_pairs(words: DataFrame, entries: DataFrame, distance: int = DISTANCE, word: str = "word", entry: str = "entry") -> DataFrame:
     """(word, entry, distance): distinct words and entries within an edit distance, equal ones included."""
-    # so many tasks whatever the words' bytes, as each word makes many probes
+    # so many tasks whatever the words' bytes, as each word makes many comparisons: a number that is asked for is not made smaller
     tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left, right = words.select(F.col(word).alias("word")).filter("word IS NOT NULL").distinct().repartition(tasks, "word"), entries.select(F.col(entry).alias("entry")).filter("entry IS NOT NULL").distinct()
+    left = words.select(F.col(word).alias("word")).filter("word IS NOT NULL").repartition(tasks, "word").distinct()
+    right = materialise(entries.select(F.col(entry).alias("entry")).filter("entry IS NOT NULL").distinct(), "entries")
+    held = [r["entry"] for r in right.collect()] if right.count() <= DIRECT_ENTRIES else None
+    if held is None or len(held) * len(set("".join(held))) > DIRECT_CELLS:
+        return _joined(left, right, distance)
+    near = left.mapInArrow(_comparing([x for x in held if len(x) <= MOST_BITS], distance), "word string, entry string, distance int")
+    if max(map(len, held), default=0) <= MOST_BITS:
+        return near
+    return near.unionAll(_joined(left.filter(F.char_length("word") > MOST_BITS - distance), right.filter(F.char_length("entry") > MOST_BITS), distance))
+
+
+def _comparing(entries: list[str], distance: int):
+    """What makes batches (word, entry, distance) of batches (word): Myers' bit vectors, an integer a comparison."""
+    ordered = sorted(entries, key=len)
+    lengths = np.array([len(x) for x in ordered], np.int64)
+    letters = np.array([*sorted({ord(c) for x in ordered for c in x}), 0x110000], np.int64)
+
+    def table(m: int):
+        """The entries near m characters: the first one's number, their masks and, by character (one more for all others), the bits of their places."""
+        a, z = np.searchsorted(lengths, [m - distance, m + distance + 1])
+        bits = next(b for b in (8, 16, 32, 64) if b >= max(lengths[a:z], default=0))
+        kind = np.dtype(f"u{bits // 8}")
+        masks = np.array([(1 << int(n)) - 1 for n in lengths[a:z]], kind)
+        places = np.zeros((len(letters) + 1, z - a), kind)
+        for e, x in enumerate(ordered[a:z]):
+            for at, c in enumerate(np.searchsorted(letters, [ord(c) for c in x])):
+                places[c, e] |= kind.type(1 << at)
+        return a, masks, places
+
+    def compare(codes, masks, places):
+        """The distances of words of one length (rows of letters' numbers) to the entries of a table."""
+        n, m = codes.shape
+        eq, xv, xh, ph, mh, mv = (np.zeros((n, len(masks)), masks.dtype) for _ in range(6))
+        pv = ~mv
+        for j in range(m):
+            np.take(places, codes[:, j], axis=0, out=eq, mode="clip")
+            np.bitwise_or(eq, mv, out=xv)
+            np.bitwise_and(eq, pv, out=xh)
+            np.add(xh, pv, out=xh)
+            np.bitwise_xor(xh, pv, out=xh)
+            np.bitwise_or(xh, eq, out=xh)
+            np.bitwise_or(xh, pv, out=ph)
+            np.invert(ph, out=ph)
+            np.bitwise_or(ph, mv, out=ph)
+            np.bitwise_and(pv, xh, out=mh)
+            np.left_shift(ph, 1, out=ph)
+            np.bitwise_or(ph, 1, out=ph)
+            np.left_shift(mh, 1, out=mh)
+            np.bitwise_or(xv, ph, out=pv)
+            np.invert(pv, out=pv)
+            np.bitwise_or(pv, mh, out=pv)
+            np.bitwise_and(ph, xv, out=mv)
+        return m + np.bitwise_count(pv & masks) - np.bitwise_count(mv & masks)
+
+    def near(batches):
+        tables, listed = {}, pa.array(ordered, pa.string())
+        for batch in batches:
+            words = batch.column(0)
+            texts = words.to_pylist()
+            sizes = np.array([len(x) for x in texts], np.int64)
+            found, pairs = [], 0
+
+            def batch_of(found, words=words):
+                w, e, d = (np.concatenate(x) for x in zip(*found, strict=True))
+                return pa.RecordBatch.from_arrays([words.take(pa.array(w)), listed.take(pa.array(e)), pa.array(d, pa.int32())], names=["word", "entry", "distance"])
+
+            for m in np.unique(sizes).tolist():
+                if m not in tables:
+                    tables[m] = table(m)
+                first, masks, places = tables[m]
+                mine = np.flatnonzero(sizes == m)
+                step = max(1, AT_ONCE // max(1, len(masks)))
+                for start in range(0, len(mine) if len(masks) else 0, step):
+                    some = mine[start : start + step]
+                    points = np.frombuffer("".join([texts[i] for i in some]).encode("utf-32-le"), np.uint32).astype(np.int64).reshape(len(some), m)
+                    codes = np.searchsorted(letters, points)
+                    codes[letters[codes] != points] = len(letters)
+                    apart = compare(codes, masks, places)
+                    w, e = np.divmod(np.flatnonzero(apart <= distance), len(masks))
+                    found.append((some[w], first + e, apart[w, e].astype(np.int32)))
+                    pairs += len(w)
+                    if pairs >= BATCH_PAIRS:
+                        yield batch_of(found)
+                        found, pairs = [], 0
+            if pairs:
+                yield batch_of(found)
+
+    return near
+
+
+def _joined(left: DataFrame, right: DataFrame, distance: int) -> DataFrame:
+    """``fuzzy_pairs`` of distinct words and entries by pieces that they share."""
+    left = materialise(left, "words").repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
     count = distance + 1
     size = F.char_length("entry")
     long = right.filter(size >= count).select("entry", size.alias("_n"), F.explode(_pieces(F.col("entry"), count)).alias("_p")).select("entry", "_n", F.col("_p.i").alias("_i"), F.col("_p.piece").alias("_piece"))

@@ -43,6 +43,11 @@ def text_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return line_words(docs, id_col, text_col, keep).select("page_id", *keep, "line_no", F.posexplode("ws").alias("word_no", "text"))
 
 
+def distinct_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(text): the different texts of ``text_words``; a line feed is a blank too, so that a text is split once."""
+    return docs.select(F.explode(F.split(text_col, r"\s+", -1)).alias("text")).filter("text != ''").distinct()
+
+
 def with_boxes(words: DataFrame) -> DataFrame:
     """Words with boxes laid out on a grid: 60 x 40 a cell, 10 a character, 30 high."""
     x0, y0 = 60 * F.col("word_no"), 40 * F.col("line_no")

@@ -8,7 +8,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from polyscribe.functions import similarity as S
 from polyscribe.functions import tokens as T
+from polyscribe.operators import fuzzy as Z
 from polyscribe.operators import layout as L
 from polyscribe.operators import lookup as J
 from polyscribe.operators import words as W
@@ -127,3 +129,31 @@ def test_hash_pairs_equal_brute_force_and_meet_by_two_bands(spark):
     assert values(pairs, "a", "b", "distance") == sorted(wanted, key=repr)
     once = W.hash_pairs(spark.createDataFrame(rows, "i int, h long"), "i", "h")
     assert once.count() == len(wanted) and "SortMergeJoin" not in plan(once)
+
+
+def test_a_small_dictionary_goes_to_the_words_and_a_large_one_meets_them(spark, monkeypatch):
+    rng = random.Random(5)
+    make = lambda most: "".join(rng.choice("abcλ\U0001d518") for _ in range(rng.randrange(most)))
+    edited = lambda x: x[: (i := rng.randrange(len(x) + 1))] + make(3) + x[i + rng.randrange(3) :]
+    entries = sorted({make(n) for n in (5, 10, 18, 40, 90) for _ in range(12)} | {"", "a" * 64, "a" * 65})
+    words = sorted({edited(x) for x in entries for _ in range(3)} | {make(9) for _ in range(60)} | {"", "a" * 66, "xyz"})
+    left, right = spark.createDataFrame([(x,) for x in [*words, *words, None]], "word string"), spark.createDataFrame([(x,) for x in [*entries, *entries, None]], "entry string")
+    for k in (1, 3):
+        want = sorted([(w, x, d) for w in words for x in entries if abs(len(w) - len(x)) <= k and (d := len(S.edit_script(w, x))) <= k], key=repr)
+        for most in (Z.DIRECT_CELLS, 0):
+            with monkeypatch.context() as patch:
+                patch.setattr(Z, "DIRECT_CELLS", most)
+                patch.setattr(Z, "BATCH_PAIRS", 50)
+                assert values(Z.fuzzy_pairs(left, right, k)) == want
+
+
+@pytest.mark.parametrize("name", ["fuzzy_matches", "weighted_best"])
+def test_fuzzy_words_are_compared_in_all_tasks_without_candidates(spark, data, name):
+    text = plan(catalog.QUERIES[name](spark, data))
+    assert "MapInArrow" in text and "levenshtein" not in text and "Generate" not in text
+    assert re.findall(r"Exchange hashpartitioning\(word#.*REPARTITION_BY_NUM", text)
+
+
+def test_distinct_words_are_those_of_lines(spark):
+    docs = spark.createDataFrame([(1, " a b\n\nc\td\r\x0b e\u00a0f \n"), (2, ""), (3, None), (4, "a\x0cb\x85g\n")], "doc_id long, text string")
+    assert values(W.distinct_words(docs)) == values(W.text_words(docs).select("text").distinct())
